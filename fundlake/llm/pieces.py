@@ -1,0 +1,77 @@
+"""Encoding by distinct pieces: a text's ids are the ids of its pieces in turn, so that a worker
+asks the tokenizers library once for each distinct piece and looks the rest up.
+
+Pieces end where the tokenizer's own pre-tokenizer always ends a match, whatever stands around
+them, so the result equals encoding the whole text.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+
+from fundlake.llm.common import Growing, spans
+
+
+class PieceCache:
+    """Ids of pieces, looked up or encoded.
+
+    ``split(piece)`` gives the parts of a piece whose ids joined are the piece's ids;
+    ``encode(parts)`` gives (ids of all parts joined, ids per part).  ``limit`` bounds the
+    pieces held; beyond it the cache starts anew.
+    """
+
+    def __init__(self, split, encode, limit: int = 600_000):
+        self.split, self.encode, self.limit = split, encode, limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.index: dict = {}
+        self.flat, self.start, self.len = Growing(np.uint32), Growing(np.int64), Growing(np.int64)
+
+    def _add(self, keys: list, flat: np.ndarray, lens: np.ndarray) -> None:
+        n = len(self.index)
+        self.start.extend(self.flat.n + np.cumsum(lens) - lens)
+        self.len.extend(lens)
+        self.flat.extend(flat)
+        self.index.update(zip(keys, range(n, n + len(keys))))
+
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        lens = self.len.data[at]
+        return self.flat.data[spans(self.start.data[at], lens)], lens
+
+    def _learn(self, missing) -> None:
+        whole, joined, fresh = [], [], {}
+        for piece in missing:
+            parts = self.split(piece)
+            if len(parts) == 1:
+                whole.append(piece)
+            else:
+                joined.append((piece, parts))
+                for p in parts:
+                    if p not in self.index:
+                        fresh[p] = None
+        for p in whole:
+            fresh[p] = None
+        if fresh:
+            keys = list(fresh)
+            self._add(keys, *self.encode(keys))
+        if joined:
+            counts = np.array([len(p) for _, p in joined])
+            at = np.fromiter((self.index[p] for _, parts in joined for p in parts), np.int64, counts.sum())
+            flat, lens = self._gather(at)
+            first = np.cumsum(counts) - counts
+            self._add([p for p, _ in joined], flat, np.add.reduceat(lens, first))
+
+    def ids(self, pieces: list, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces joined, and the number of ids of each text; ``counts``: pieces per text."""
+        missing = set(pieces).difference(self.index)
+        if missing:
+            if len(self.index) + len(missing) > self.limit:
+                self.clear()
+                missing = set(pieces)
+            self._learn(missing)
+        at = np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
+        flat, lens = self._gather(at)
+        ends = np.concatenate([[0], np.cumsum(lens)])
+        bounds = np.concatenate([[0], np.cumsum(counts)])
+        return flat, np.diff(ends[bounds])
