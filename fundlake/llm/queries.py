@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fundlake.llm import byte_bpe, id_store
-from fundlake.llm.common import table
+from fundlake.llm import byte_bpe, id_store, language, quality, toxicity
+from fundlake.llm.common import held_out, table
 
 
 def op1_token_id_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
@@ -18,6 +19,23 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str, ranks: str | None = None) ->
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), ranks or public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {"op1_token_id_files": op1_token_id_files, "op2_byte_bpe": op2_byte_bpe}
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.predict(docs, model).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.train(docs)
+    return language.predict(docs.drop("lang"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_id_files, op2_byte_bpe, op4_toxicity, op6_language, op7_quality_rules)}
 
 ORACLE_SQL: dict[str, str] = {}
