@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm import byte_bpe, id_store, language, quality, toxicity
+from fundlake.llm import byte_bpe, id_store, language, near_dup, quality, toxicity
 from fundlake.llm.common import held_out, table
 
 
@@ -36,6 +36,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_id_files, op2_byte_bpe, op4_toxicity, op6_language, op7_quality_rules)}
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_id_files, op2_byte_bpe, op4_toxicity, op6_language, op7_quality_rules, op9_near_duplicates)}
 
 ORACLE_SQL: dict[str, str] = {}
