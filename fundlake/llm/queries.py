@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm import byte_bpe, id_store, language, near_dup, quality, toxicity
+from fundlake.llm import byte_bpe, id_store, language, near_dup, quality, repeats, toxicity
 from fundlake.llm.common import held_out, table
 
 
@@ -19,6 +19,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str, ranks: str | None = None) ->
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), ranks or public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op3_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("first", "end")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -40,6 +44,6 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_id_files, op2_byte_bpe, op4_toxicity, op6_language, op7_quality_rules, op9_near_duplicates)}
+QUERIES = {f.__name__: f for f in (op1_token_id_files, op2_byte_bpe, op3_repeated_spans, op4_toxicity, op6_language, op7_quality_rules, op9_near_duplicates)}
 
 ORACLE_SQL: dict[str, str] = {}
