@@ -1,15 +1,74 @@
-"""The corpus pipeline: each stage reads what its predecessor wrote."""
+"""The corpus pipeline: language, near-duplicates, personal data, mixture, token ids.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
+again as the next stage's docs; all but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fundlake.llm import byte_bpe, language, mixing, near_dup, surrogates
+from fundlake.llm.common import shared_folder
+
+#: A document stays if its language is told with at least this probability.
+LEAST_LANGUAGE_SCORE = 0.3
+#: Key of the surrogates; a parameter of the deployment, not a secret here.
+SURROGATE_KEY = b"corpus pipeline"
+#: Share of the tokens that the mixture keeps, and how often a scarce document may be repeated.
+PERCENT, EPOCHS = 80, 2
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told."""
+    model = language.train(docs)
+    told = language.predict(docs, model)
+    return told.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of smallest doc_id of each component of near-duplicates; rows without a doc_id stay."""
+    gone = near_dup.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data and secrets replaced by surrogates."""
+    return surrogates.replace(docs, SURROGATE_KEY).select(*docs.columns)
+
+
+def mixture_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mixture takes them."""
+    return mixing.mix(docs, percent=PERCENT, epochs=EPOCHS).select(*docs.columns)
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, token ids and the digests of ids and of what they decode to."""
+    return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("language ID", language_stage),
+    ("MinHash near-dedup", near_duplicate_stage),
+    ("PII", personal_data_stage),
+    ("mixing sources to target weights", mixture_stage),
+    ("byte-level BPE encoding and decoding", token_stage),
+]
 
-STAGES: list = []
+#: Learnt models, iterated components and hashed tokens are no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for k, (_, stage) in enumerate(STAGES):
+        path = f"{shared_folder(spark)}/fundlake/stage-{k}-{uuid.uuid4().hex}"
+        out = stage(spark, docs, sf_dir)
+        out.write.option("compression", "zstd").parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
     return docs
