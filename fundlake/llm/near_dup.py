@@ -104,7 +104,10 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def prefix_pairs(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Every pair of ``nodes`` (node, component) across components that can be linked.
 
-    Linked sets share one of the rarest n - ceil(0.75 n) + 1 shingles of each.
+    Linked sets share one of the rarest n - ceil(0.75 n) + 1 shingles of each, and sets of n and m
+    shingles share o = ceil(3 (n + m) / 7) at least: the first shingle they share, in order of rarity,
+    has at most n - o + 1 and m - o + 1 places up to it.  So of two texts near the same common one only
+    those come out that are themselves about that near.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,12 +125,14 @@ def prefix_pairs(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     shared = rows.join(often, "s")
     alone = shared.groupBy("node").agg(F.count("*").alias("shared"))
     order = F.row_number().over(Window.partitionBy("node").orderBy("df", "s"))
-    prefix = shared.join(alone, "node").withColumn("at", F.col("n") - F.col("shared") + order).where("at <= n - cast(ceil(0.75 * n) as long) + 1").join(nodes, "node").select("s", "node", "component", "n")
+    prefix = shared.join(alone, "node").withColumn("at", F.col("n") - F.col("shared") + order).where("at <= n - cast(ceil(0.75 * n) as long) + 1").join(nodes, "node").select("s", "node", "component", "n", "at")
     prefix, made_prefix = materialise(prefix, "prefixes")
     several = prefix.groupBy("s").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("s")
     live = prefix.join(several, "s", "left_semi")
     x, y = live.alias("x"), live.alias("y")
-    found = x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & (4 * F.least("x.n", "y.n") >= 3 * F.greatest("x.n", "y.n")))
+    met = F.expr("(3 * (x.n + y.n) + 6) div 7")
+    early = (F.col("x.at") <= F.col("x.n") - met + 1) & (F.col("y.at") <= F.col("y.n") - met + 1)
+    found = x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & early)
     pairs, made_pairs = materialise(found.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "pairs")
     discard(nodes.sparkSession, made, made_prefix)
     return pairs
