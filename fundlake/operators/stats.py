@@ -24,8 +24,14 @@ DAYS = {"1d": 1, "1w": 7}
 MONTHS = {"1m": 1, "3m": 3, "6m": 6, "1y": 12, "3y": 36, "5y": 60, "10y": 120}
 RISK_WINDOWS = ("1y", "3y", "5y")
 
-FUND = Window.partitionBy("isin")
-TIME = FUND.orderBy("date")
+
+
+def _fund():
+    return Window.partitionBy("isin")
+
+
+def _time():
+    return _fund().orderBy("date")
 
 
 def clean(bars: DataFrame, as_of=None, order: list[str] | None = None) -> DataFrame:
@@ -53,11 +59,11 @@ def performance(panel: DataFrame, benchmark: DataFrame | None = None, funds: Dat
 
     ``benchmark``: (date, logp), one row for each day.
     """
-    rows = panel.withColumn("terminal", F.max("date").over(FUND))
+    rows = panel.withColumn("terminal", F.max("date").over(_fund()))
     for w in RISK_WINDOWS:
-        rows = rows.withColumn(f"from_{w}", F.max(F.when(F.col("date") <= F.add_months("terminal", -MONTHS[w]), F.col("date"))).over(FUND))
-    rows = rows.withColumn("r", F.col("logp") - F.lag("logp").over(TIME))
-    run = TIME.rowsBetween(Window.unboundedPreceding, 0)
+        rows = rows.withColumn(f"from_{w}", F.max(F.when(F.col("date") <= F.add_months("terminal", -MONTHS[w]), F.col("date"))).over(_fund()))
+    rows = rows.withColumn("r", F.col("logp") - F.lag("logp").over(_time()))
+    run = _time().rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("dd_max", F.col("logp") - F.max("logp").over(run))
     for w in RISK_WINDOWS:
         inside = F.col("date") >= F.col(f"from_{w}")
@@ -111,10 +117,10 @@ def beta_and_correlation(panel: DataFrame, benchmark: DataFrame, min_shared: int
     Both series are cut to shared days before returns are taken.  The benchmark has one row for
     each day, a bound of its own, so it is broadcast.
     """
-    anchored = panel.select("isin", "date", "logp").withColumn("terminal", F.max("date").over(FUND))
-    anchored = anchored.withColumn("start", F.max(F.when(F.col("date") <= F.add_months("terminal", -36), F.col("date"))).over(FUND)).where("date >= start")
+    anchored = panel.select("isin", "date", "logp").withColumn("terminal", F.max("date").over(_fund()))
+    anchored = anchored.withColumn("start", F.max(F.when(F.col("date") <= F.add_months("terminal", -36), F.col("date"))).over(_fund())).where("date >= start")
     shared = anchored.join(F.broadcast(benchmark.select("date", F.col("logp").alias("world"))), "date")
-    rows = shared.withColumn("y", F.col("logp") - F.lag("logp").over(TIME)).withColumn("x", F.col("world") - F.lag("world").over(TIME))
+    rows = shared.withColumn("y", F.col("logp") - F.lag("logp").over(_time())).withColumn("x", F.col("world") - F.lag("world").over(_time()))
     m = rows.groupBy("isin").agg(F.count("*").alias("n"), F.covar_samp("x", "y").alias("c"), F.var_samp("x").alias("vx"), F.var_samp("y").alias("vy"))
     enough = F.col("n") > min_shared
     moves = F.sqrt("vy") * ANNUAL > MIN_VOLATILITY
@@ -128,7 +134,7 @@ def period_returns(panel: DataFrame, period: str) -> DataFrame:
     and null if that is its only one.
     """
     ends = panel.groupBy("isin", F.trunc("date", period).alias("start")).agg(F.max_by("logp", "date").alias("last"), F.min_by("logp", "date").alias("first"), F.count("*").alias("bars"))
-    time = FUND.orderBy("start")
+    time = _fund().orderBy("start")
     before = F.lag("last").over(time)
     base = F.coalesce(before, F.when(F.col("bars") > 1, F.col("first")))
     edge = before.isNull() | F.lead("start").over(time).isNull()

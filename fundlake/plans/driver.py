@@ -18,7 +18,7 @@ def query(f):
     return f
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+def rounded(df: DataFrame, digits: int = 8) -> DataFrame:
     """Doubles to ``digits`` places, as sums and logarithms differ in the last bits between engines."""
     return df.select(*(F.round(c, digits).alias(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes))
 
@@ -103,7 +103,7 @@ def monthly_grid(spark: SparkSession, d: str) -> DataFrame:
 @query
 def fx_melt(spark: SparkSession, d: str) -> DataFrame:
     wide = p.rates(spark, d).groupBy("date").pivot("currency", list(p.CURRENCIES[1:])).agg(F.max("rate_to_eur"))
-    return rounded(fx.tidy(wide))
+    return rounded(fx.tidy(wide), 12)
 
 
 @query
@@ -113,7 +113,8 @@ def fx_problems(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def fx_asof_convert(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(fx.to_eur(p.bars(spark, d).select("isin", "date", "close", "currency"), p.rates(spark, d), horizon="2002-01-01"))
+    made = fx.to_eur(p.bars(spark, d).select("isin", "date", "close", "currency"), p.rates(spark, d), horizon="2002-01-01")
+    return made.select("isin", "date", "currency", F.when(F.col("rate_to_eur") == 1, F.round("close", 7)).otherwise(F.round("close", 5)).alias("close"), F.round("rate_to_eur", 12).alias("rate_to_eur"))
 
 
 @query
@@ -139,7 +140,7 @@ def dividends_in_eur(spark: SparkSession, d: str) -> DataFrame:
 @query
 def total_return_adjust(spark: SparkSession, d: str) -> DataFrame:
     bars = p.bars(spark, d).select("isin", "date", "close")
-    return rounded(adjust.adjust(bars, p.actions(spark, d)).select("isin", "date", "adj_close"))
+    return rounded(adjust.adjust(bars, p.actions(spark, d)).select("isin", "date", (F.col("adj_close") / F.col("close")).alias("adj_factor")))
 
 
 @query

@@ -33,8 +33,8 @@ def _joins(*names: str) -> str:
 
 ORACLE: dict[str, str] = {}
 _W = ("1d", "1w", "1m", "3m", "6m", "ytd", "1y", "3y", "5y", "10y")
-ORACLE["trailing_returns"] = f"WITH {PANEL}{_anchors(*_W)}{_LAST} SELECT ends.isin, " + ", ".join(f"round(exp(l1 - a_{w}.logp) - 1, 6) AS ret_{w}" for w in _W) + f", CASE WHEN n > 1 THEN round(exp(l1 - l0) - 1, 6) END AS ret_max FROM ends JOIN z ON z.isin = ends.isin JOIN f ON f.isin = ends.isin{_joins(*_W)}"
-ORACLE["cagr"] = f"WITH {PANEL}{_anchors('3y', '5y', '10y')}{_LAST} SELECT ends.isin, round(exp((l1 - a_3y.logp) / 3) - 1, 6) AS cagr_3y, round(exp((l1 - a_5y.logp) / 5) - 1, 6) AS cagr_5y, round(exp((l1 - a_10y.logp) / 10) - 1, 6) AS cagr_10y, CASE WHEN datediff('day', d0, d1) / 365.25 >= 1 THEN round(exp((l1 - l0) / (datediff('day', d0, d1) / 365.25)) - 1, 6) END AS cagr_inception FROM ends JOIN z ON z.isin = ends.isin JOIN f ON f.isin = ends.isin{_joins('3y', '5y', '10y')}"
+ORACLE["trailing_returns"] = f"WITH {PANEL}{_anchors(*_W)}{_LAST} SELECT ends.isin, " + ", ".join(f"round(exp(l1 - a_{w}.logp) - 1, 8) AS ret_{w}" for w in _W) + f", CASE WHEN n > 1 THEN round(exp(l1 - l0) - 1, 8) END AS ret_max FROM ends JOIN z ON z.isin = ends.isin JOIN f ON f.isin = ends.isin{_joins(*_W)}"
+ORACLE["cagr"] = f"WITH {PANEL}{_anchors('3y', '5y', '10y')}{_LAST} SELECT ends.isin, round(exp((l1 - a_3y.logp) / 3) - 1, 8) AS cagr_3y, round(exp((l1 - a_5y.logp) / 5) - 1, 8) AS cagr_5y, round(exp((l1 - a_10y.logp) / 10) - 1, 8) AS cagr_10y, CASE WHEN datediff('day', d0, d1) / 365.25 >= 1 THEN round(exp((l1 - l0) / (datediff('day', d0, d1) / 365.25)) - 1, 8) END AS cagr_inception FROM ends JOIN z ON z.isin = ends.isin JOIN f ON f.isin = ends.isin{_joins('3y', '5y', '10y')}"
 _RET = """,
 r AS (SELECT isin, date, logp, logp - lag(logp) OVER (PARTITION BY isin ORDER BY date) AS r FROM panel)"""
 
@@ -45,8 +45,8 @@ v_{w} AS (SELECT r.isin, stddev_samp(r.r) * sqrt(252.0) AS vol, count(r.r) AS m,
 
 
 _V = ("1y", "3y", "5y")
-ORACLE["volatility"] = f"WITH {PANEL}{_anchors(*_V)}{_RET}{''.join(map(_vol, _V))} SELECT ends.isin, " + ", ".join(f"round(CASE WHEN v_{w}.m >= 2 THEN v_{w}.vol END, 6) AS vol_{w}" for w in _V) + " FROM ends" + "".join(f" LEFT JOIN v_{w} ON v_{w}.isin = ends.isin" for w in _V)
-ORACLE["sharpe_sortino"] = f"WITH {PANEL}{_anchors(*_V)}{_RET}{''.join(map(_vol, _V))}{_LAST} SELECT ends.isin, " + ", ".join(f"round(CASE WHEN v_{w}.m >= 2 AND v_{w}.vol > 1e-5 THEN (exp((l1 - a_{w}.logp) / {w[0]}) - 1 - 0.025) / v_{w}.vol END, 6) AS sharpe_{w}" for w in _V) + ", round(CASE WHEN v_3y.m >= 2 AND v_3y.down > 1e-5 THEN (exp((l1 - a_3y.logp) / 3) - 1 - 0.025) / v_3y.down END, 6) AS sortino_3y FROM ends JOIN z ON z.isin = ends.isin" + _joins(*_V) + "".join(f" LEFT JOIN v_{w} ON v_{w}.isin = ends.isin" for w in _V)
+ORACLE["volatility"] = f"WITH {PANEL}{_anchors(*_V)}{_RET}{''.join(map(_vol, _V))} SELECT ends.isin, " + ", ".join(f"round(CASE WHEN v_{w}.m >= 2 THEN v_{w}.vol END, 8) AS vol_{w}" for w in _V) + " FROM ends" + "".join(f" LEFT JOIN v_{w} ON v_{w}.isin = ends.isin" for w in _V)
+ORACLE["sharpe_sortino"] = f"WITH {PANEL}{_anchors(*_V)}{_RET}{''.join(map(_vol, _V))}{_LAST} SELECT ends.isin, " + ", ".join(f"round(CASE WHEN v_{w}.m >= 2 AND v_{w}.vol > 1e-5 THEN (exp((l1 - a_{w}.logp) / {w[0]}) - 1 - 0.025) / v_{w}.vol END, 8) AS sharpe_{w}" for w in _V) + ", round(CASE WHEN v_3y.m >= 2 AND v_3y.down > 1e-5 THEN (exp((l1 - a_3y.logp) / 3) - 1 - 0.025) / v_3y.down END, 8) AS sortino_3y FROM ends JOIN z ON z.isin = ends.isin" + _joins(*_V) + "".join(f" LEFT JOIN v_{w} ON v_{w}.isin = ends.isin" for w in _V)
 
 
 def _dd(w: str) -> str:
@@ -56,14 +56,14 @@ d_{w} AS (SELECT isin, min(x) AS dd, count(*) AS m FROM (SELECT p.isin, exp(p.lo
 
 _ALL_DD = """,
 dd AS (SELECT isin, date, exp(logp - max(logp) OVER (PARTITION BY isin ORDER BY date ROWS UNBOUNDED PRECEDING)) - 1 AS x FROM panel)"""
-ORACLE["drawdown"] = f"WITH {PANEL}{_anchors(*_V)}{''.join(map(_dd, _V))}{_ALL_DD} SELECT ends.isin, " + ", ".join(f"round(d_{w}.dd, 6) AS max_drawdown_{w}" for w in _V) + ", round((SELECT min(x) FROM dd WHERE dd.isin = ends.isin), 6) AS max_drawdown_max, round(now.x, 6) AS current_drawdown FROM ends JOIN dd now ON now.isin = ends.isin AND now.date = ends.d1" + "".join(f" LEFT JOIN d_{w} ON d_{w}.isin = ends.isin" for w in _V)
-ORACLE["full_history_shape"] = f"WITH {PANEL}{_ALL_DD}, top AS (SELECT isin, max(close) AS ath, max(logp) AS lt FROM panel GROUP BY isin), day AS (SELECT p.isin, min(p.date) AS ath_date FROM panel p JOIN top ON top.isin = p.isin AND p.logp = top.lt GROUP BY p.isin) SELECT ends.isin, CAST(n AS INTEGER) AS history_days, d0 AS history_start, d1 AS price_date, round(b.close, 6) AS price_last, round(ath, 6) AS ath, ath_date, round(now.x, 6) AS distance_from_ath, b.currency AS base_currency FROM ends JOIN top ON top.isin = ends.isin JOIN day ON day.isin = ends.isin JOIN dd now ON now.isin = ends.isin AND now.date = d1 JOIN bars b ON b.isin = ends.isin AND b.date = d1"
-ORACLE["bars_clean"] = f"WITH {BARS} SELECT isin, date, round(close, 6) AS close, currency FROM bars"
-ORACLE["thin_gate"] = f"WITH {PANEL}{_anchors('1y')}{_RET}{_vol('1y')}{_LAST} SELECT ends.isin, CAST(n AS INTEGER) AS history_days, d1 AS price_date, CASE WHEN n >= 550 THEN round(exp(l1 - a_1y.logp) - 1, 6) END AS ret_1y, CASE WHEN n >= 550 AND v_1y.m >= 2 THEN round(v_1y.vol, 6) END AS vol_1y FROM ends JOIN z ON z.isin = ends.isin LEFT JOIN a_1y ON a_1y.isin = ends.isin LEFT JOIN v_1y ON v_1y.isin = ends.isin"
+ORACLE["drawdown"] = f"WITH {PANEL}{_anchors(*_V)}{''.join(map(_dd, _V))}{_ALL_DD} SELECT ends.isin, " + ", ".join(f"round(d_{w}.dd, 8) AS max_drawdown_{w}" for w in _V) + ", round((SELECT min(x) FROM dd WHERE dd.isin = ends.isin), 8) AS max_drawdown_max, round(now.x, 8) AS current_drawdown FROM ends JOIN dd now ON now.isin = ends.isin AND now.date = ends.d1" + "".join(f" LEFT JOIN d_{w} ON d_{w}.isin = ends.isin" for w in _V)
+ORACLE["full_history_shape"] = f"WITH {PANEL}{_ALL_DD}, top AS (SELECT isin, max(close) AS ath, max(logp) AS lt FROM panel GROUP BY isin), day AS (SELECT p.isin, min(p.date) AS ath_date FROM panel p JOIN top ON top.isin = p.isin AND p.logp = top.lt GROUP BY p.isin) SELECT ends.isin, CAST(n AS INTEGER) AS history_days, d0 AS history_start, d1 AS price_date, round(b.close, 8) AS price_last, round(ath, 8) AS ath, ath_date, round(now.x, 8) AS distance_from_ath, b.currency AS base_currency FROM ends JOIN top ON top.isin = ends.isin JOIN day ON day.isin = ends.isin JOIN dd now ON now.isin = ends.isin AND now.date = d1 JOIN bars b ON b.isin = ends.isin AND b.date = d1"
+ORACLE["bars_clean"] = f"WITH {BARS} SELECT isin, date, round(close, 8) AS close, currency FROM bars"
+ORACLE["thin_gate"] = f"WITH {PANEL}{_anchors('1y')}{_RET}{_vol('1y')}{_LAST} SELECT ends.isin, CAST(n AS INTEGER) AS history_days, d1 AS price_date, CASE WHEN n >= 550 THEN round(exp(l1 - a_1y.logp) - 1, 8) END AS ret_1y, CASE WHEN n >= 550 AND v_1y.m >= 2 THEN round(v_1y.vol, 8) END AS vol_1y FROM ends JOIN z ON z.isin = ends.isin LEFT JOIN a_1y ON a_1y.isin = ends.isin LEFT JOIN v_1y ON v_1y.isin = ends.isin"
 ORACLE["beta_corr"] = f"""WITH {PANEL}{_anchors('3y')}, world AS (SELECT date, avg(logp) AS w FROM panel GROUP BY date),
 s AS (SELECT p.isin, p.logp - lag(p.logp) OVER (PARTITION BY p.isin ORDER BY p.date) AS y, w - lag(w) OVER (PARTITION BY p.isin ORDER BY p.date) AS x FROM panel p JOIN a_3y ON a_3y.isin = p.isin JOIN world ON world.date = p.date WHERE p.date >= a_3y.day),
 m AS (SELECT isin, count(*) AS n, covar_samp(y, x) AS c, var_samp(x) AS vx, var_samp(y) AS vy FROM s GROUP BY isin)
-SELECT isin, CASE WHEN n > 60 AND vx > 0 THEN round(c / vx, 6) END AS beta_vs_world, CASE WHEN n > 60 AND vx > 0 AND sqrt(vy) * sqrt(252.0) > 1e-5 THEN round(c / sqrt(vx * vy), 6) END AS correlation_vs_world FROM m"""
+SELECT isin, CASE WHEN n > 60 AND vx > 0 THEN round(c / vx, 8) END AS beta_vs_world, CASE WHEN n > 60 AND vx > 0 AND sqrt(vy) * sqrt(252.0) > 1e-5 THEN round(c / sqrt(vx * vy), 8) END AS correlation_vs_world FROM m"""
 
 
 def _periods(unit: str) -> str:
@@ -73,11 +73,11 @@ pl AS (SELECT pe.isin, pe.start, pe.k, x.logp AS l, y.logp AS f FROM pe JOIN pan
 pr AS (SELECT isin, start, exp(l - CASE WHEN lag(l) OVER w IS NOT NULL THEN lag(l) OVER w WHEN k > 1 THEN f END) - 1 AS ret, row_number() OVER w = 1 OR row_number() OVER (PARTITION BY isin ORDER BY start DESC) = 1 AS partial FROM pl WINDOW w AS (PARTITION BY isin ORDER BY start))"""
 
 
-ORACLE["monthly_returns"] = f"WITH {PANEL}{_periods('month')} SELECT isin, CAST(year(start) AS SMALLINT) AS year, CAST(month(start) AS TINYINT) AS month, round(ret, 6) AS ret, partial FROM pr"
-ORACLE["yearly_returns"] = f"WITH {PANEL}{_periods('year')} SELECT isin, CAST(year(start) AS SMALLINT) AS year, round(ret, 6) AS ret, partial FROM pr"
-ORACLE["monthly_distribution"] = f"WITH {PANEL}{_periods('month')} SELECT isin, round(max(ret), 6) AS best_month, round(min(ret), 6) AS worst_month, round(avg(CASE WHEN ret > 0 THEN 1.0 ELSE 0.0 END), 6) AS positive_months_pct FROM pr WHERE NOT partial AND ret IS NOT NULL GROUP BY isin"
-ORACLE["monthly_grid"] = f"WITH {PANEL}{_periods('month')} SELECT isin, CAST(year(start) AS SMALLINT) AS year, " + ", ".join(f"round(max(CASE WHEN month(start) = {m} THEN ret END), 6) AS m{m}" for m in range(1, 13)) + " FROM pr GROUP BY isin, year(start)"
-ORACLE["fund_detail"] = f"WITH {PANEL}{_periods('month')} SELECT isin, CAST(year(start) AS SMALLINT) AS year, CAST(month(start) AS TINYINT) AS month, round(ret, 6) AS ret, partial FROM pr WHERE isin = '7'"
+ORACLE["monthly_returns"] = f"WITH {PANEL}{_periods('month')} SELECT isin, CAST(year(start) AS SMALLINT) AS year, CAST(month(start) AS TINYINT) AS month, round(ret, 8) AS ret, partial FROM pr"
+ORACLE["yearly_returns"] = f"WITH {PANEL}{_periods('year')} SELECT isin, CAST(year(start) AS SMALLINT) AS year, round(ret, 8) AS ret, partial FROM pr"
+ORACLE["monthly_distribution"] = f"WITH {PANEL}{_periods('month')} SELECT isin, round(max(ret), 8) AS best_month, round(min(ret), 8) AS worst_month, round(avg(CASE WHEN ret > 0 THEN 1.0 ELSE 0.0 END), 8) AS positive_months_pct FROM pr WHERE NOT partial AND ret IS NOT NULL GROUP BY isin"
+ORACLE["monthly_grid"] = f"WITH {PANEL}{_periods('month')} SELECT isin, CAST(year(start) AS SMALLINT) AS year, " + ", ".join(f"round(max(CASE WHEN month(start) = {m} THEN ret END), 8) AS m{m}" for m in range(1, 13)) + " FROM pr GROUP BY isin, year(start)"
+ORACLE["fund_detail"] = f"WITH {PANEL}{_periods('month')} SELECT isin, CAST(year(start) AS SMALLINT) AS year, CAST(month(start) AS TINYINT) AS month, round(ret, 8) AS ret, partial FROM pr WHERE isin = '7'"
 
 RATES = """
 rates AS (SELECT CAST(o_orderdate AS DATE) AS date, CASE o_custkey % 4 WHEN 0 THEN 'USD' WHEN 1 THEN 'GBP' WHEN 2 THEN 'CHF' ELSE 'JPY' END AS currency, avg(o_totalprice) / 100000 AS rate FROM orders GROUP BY 1, 2)
@@ -88,9 +88,9 @@ days AS (SELECT DISTINCT currency, date FROM bars UNION SELECT currency, date FR
 seen AS (SELECT d.currency, d.date, max(r.date) OVER (PARTITION BY d.currency ORDER BY d.date ROWS UNBOUNDED PRECEDING) AS rate_date FROM days d LEFT JOIN rates r ON r.currency = d.currency AND r.date = d.date),
 latest AS (SELECT s.currency, s.date, r.rate FROM seen s JOIN rates r ON r.currency = s.currency AND r.date = s.rate_date WHERE datediff('day', s.rate_date, s.date) <= 10)
 """
-ORACLE["fx_melt"] = f"WITH {RATES} SELECT date, currency, round(rate, 6) AS rate_to_eur FROM rates"
+ORACLE["fx_melt"] = f"WITH {RATES} SELECT date, currency, round(rate, 12) AS rate_to_eur FROM rates"
 ORACLE["fx_problems"] = f"WITH {RATES} SELECT 'published on a weekend' AS problem, count(*) AS n FROM rates WHERE isodow(date) >= 6"
-ORACLE["fx_asof_convert"] = f"WITH {EUR} SELECT b.isin, b.date, round(CASE WHEN b.currency = 'EUR' THEN b.close ELSE b.close / a.rate END, 6) AS close, 'EUR' AS currency, round(CASE WHEN b.currency = 'EUR' THEN 1.0 ELSE a.rate END, 6) AS rate_to_eur FROM bars b LEFT JOIN latest a ON a.currency = b.currency AND a.date = b.date"
+ORACLE["fx_asof_convert"] = f"WITH {EUR} SELECT b.isin, b.date, CASE WHEN b.currency = 'EUR' THEN round(b.close, 7) ELSE round(b.close / a.rate, 5) END AS close, 'EUR' AS currency, round(CASE WHEN b.currency = 'EUR' THEN 1.0 ELSE a.rate END, 12) AS rate_to_eur FROM bars b LEFT JOIN latest a ON a.currency = b.currency AND a.date = b.date"
 ORACLE["fx_missing_rates"] = f"WITH {EUR} SELECT b.isin, count(*) FILTER (WHERE b.currency <> 'EUR' AND a.rate IS NULL) AS rows_without_rate FROM bars b LEFT JOIN latest a ON a.currency = b.currency AND a.date = b.date GROUP BY b.isin"
 ORACLE["fx_coverage"] = f"WITH {RATES}, q(quoted_as, currency, unit) AS (VALUES ('EUR', 'EUR', 1.0), ('usd', 'USD', 1.0), ('GBp', 'GBP', 0.01), ('GBP', 'GBP', 1.0), ('GBX', 'GBP', 0.01), ('JPY', 'JPY', 1.0), ('SEK', 'SEK', 1.0)) SELECT quoted_as, q.currency, CAST(unit AS DOUBLE) AS unit, q.currency = 'EUR' OR count(r.date) > 0 AS supported, min(r.date) AS first_rate, max(r.date) AS last_rate, count(r.date) AS observations FROM q LEFT JOIN rates r ON r.currency = q.currency GROUP BY quoted_as, q.currency, unit"
 EVENTS = """,
@@ -100,10 +100,10 @@ events AS (SELECT isin, date, kind, amount, ratio FROM (SELECT *, row_number() O
 spans AS (SELECT isin, date, close, lead(date) OVER (PARTITION BY isin ORDER BY date) AS nxt FROM bars),
 placed AS (SELECT e.*, s.date AS placed_at, s.close AS ref FROM events e LEFT JOIN spans s ON s.isin = e.isin AND s.date < e.date AND e.date <= s.nxt)
 """
-ORACLE["dividends_in_eur"] = f"WITH {EUR}{EVENTS}, home AS (SELECT isin, max(currency) AS currency FROM bars GROUP BY isin), d2 AS (SELECT DISTINCT h.currency, e.date FROM events e JOIN home h ON h.isin = e.isin UNION SELECT currency, date FROM rates), s2 AS (SELECT d.currency, d.date, max(r.date) OVER (PARTITION BY d.currency ORDER BY d.date ROWS UNBOUNDED PRECEDING) AS rate_date FROM d2 d LEFT JOIN rates r ON r.currency = d.currency AND r.date = d.date), a2 AS (SELECT s.currency, s.date, r.rate FROM s2 s JOIN rates r ON r.currency = s.currency AND r.date = s.rate_date WHERE datediff('day', s.rate_date, s.date) <= 10) SELECT e.isin, e.date, e.kind, round(CASE WHEN h.currency = 'EUR' THEN e.amount ELSE e.amount / a2.rate END, 6) AS amount, 'EUR' AS currency FROM events e JOIN home h ON h.isin = e.isin LEFT JOIN a2 ON a2.currency = h.currency AND a2.date = e.date WHERE e.kind = 'dividend'"
-ORACLE["total_return_adjust"] = f"WITH {BARS}{EVENTS}, lf AS (SELECT isin, placed_at AS date, sum(ln((ref - amount) / ref)) AS l FROM placed WHERE kind = 'dividend' AND placed_at IS NOT NULL AND amount < ref GROUP BY isin, placed_at) SELECT b.isin, b.date, round(b.close * exp(coalesce(sum(lf.l) OVER (PARTITION BY b.isin ORDER BY b.date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0)), 6) AS adj_close FROM bars b LEFT JOIN lf ON lf.isin = b.isin AND lf.date = b.date"
+ORACLE["dividends_in_eur"] = f"WITH {EUR}{EVENTS}, home AS (SELECT isin, max(currency) AS currency FROM bars GROUP BY isin), d2 AS (SELECT DISTINCT h.currency, e.date FROM events e JOIN home h ON h.isin = e.isin UNION SELECT currency, date FROM rates), s2 AS (SELECT d.currency, d.date, max(r.date) OVER (PARTITION BY d.currency ORDER BY d.date ROWS UNBOUNDED PRECEDING) AS rate_date FROM d2 d LEFT JOIN rates r ON r.currency = d.currency AND r.date = d.date), a2 AS (SELECT s.currency, s.date, r.rate FROM s2 s JOIN rates r ON r.currency = s.currency AND r.date = s.rate_date WHERE datediff('day', s.rate_date, s.date) <= 10) SELECT e.isin, e.date, e.kind, round(CASE WHEN h.currency = 'EUR' THEN e.amount ELSE e.amount / a2.rate END, 8) AS amount, 'EUR' AS currency FROM events e JOIN home h ON h.isin = e.isin LEFT JOIN a2 ON a2.currency = h.currency AND a2.date = e.date WHERE e.kind = 'dividend'"
+ORACLE["total_return_adjust"] = f"WITH {BARS}{EVENTS}, lf AS (SELECT isin, placed_at AS date, sum(ln((ref - amount) / ref)) AS l FROM placed WHERE kind = 'dividend' AND placed_at IS NOT NULL AND amount < ref GROUP BY isin, placed_at) SELECT b.isin, b.date, round(exp(coalesce(sum(lf.l) OVER (PARTITION BY b.isin ORDER BY b.date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0)), 8) AS adj_factor FROM bars b LEFT JOIN lf ON lf.isin = b.isin AND lf.date = b.date"
 ORACLE["adjust_report"] = f"WITH {BARS}{EVENTS} SELECT CASE WHEN placed_at IS NULL THEN 'outside the fund''s price window' WHEN kind = 'dividend' AND amount >= ref THEN 'non-positive adjustment factor' ELSE 'applied' END AS status, count(*) AS n FROM placed GROUP BY 1"
-ORACLE["split_factors"] = f"WITH {BARS}{EVENTS} SELECT isin, date, placed_at, round(1 / ratio, 6) AS factor FROM placed WHERE kind = 'split' AND placed_at IS NOT NULL"
+ORACLE["split_factors"] = f"WITH {BARS}{EVENTS} SELECT isin, date, placed_at, round(1 / ratio, 8) AS factor FROM placed WHERE kind = 'split' AND placed_at IS NOT NULL"
 INDEX = EUR + """,
 wk AS (SELECT isin, date, close, currency FROM (SELECT *, row_number() OVER (PARTITION BY isin, date_trunc('week', date) ORDER BY date DESC) AS rn FROM bars) WHERE rn = 1),
 eu AS (SELECT w.isin, w.date, CASE WHEN w.currency = 'EUR' THEN w.close ELSE w.close / a.rate END AS eur FROM wk w LEFT JOIN latest a ON a.currency = w.currency AND a.date = w.date WHERE w.currency = 'EUR' OR a.rate IS NOT NULL),
@@ -146,7 +146,7 @@ ORACLE["symbol_candidates"] = f"WITH {LISTINGS}, {_SYMBOLS} SELECT * FROM cand"
 ORACLE["venue_fallback"] = f"WITH {LISTINGS}, {_SYMBOLS} SELECT isin, rank, yahoo_ticker FROM cand WHERE rank = 1 AND isin NOT IN (SELECT CAST(l_suppkey AS VARCHAR) FROM lineitem JOIN supplier ON s_suppkey = l_suppkey)"
 ORACLE["mic_rewrites"] = f"WITH {LISTINGS}, m AS (SELECT CAST(isin AS INTEGER) % 5 AS k FROM listings) SELECT CASE k WHEN 0 THEN 'ETFP->XMIL' WHEN 1 THEN 'XETA->XETR' WHEN 3 THEN 'FRAA->XFRA' ELSE 'XMSM->XDUB' END AS rewrite, count(*) AS n FROM m WHERE k <> 2 GROUP BY 1"
 FUNDS = "funds AS (SELECT CAST(c_custkey AS VARCHAR) AS isin, c_name AS name, c_mktsegment AS asset_class, CASE WHEN c_nationkey <> 3 THEN CAST(c_nationkey AS VARCHAR) END AS domicile, CASE WHEN c_acctbal > -900 THEN c_acctbal END AS aum_eur, CASE WHEN c_acctbal > 0 THEN true WHEN c_acctbal < -500 THEN false END AS pea_eligible, CASE WHEN c_acctbal > 2000 THEN true WHEN c_acctbal < 1500 THEN false END AS cto_accessible, lower(c_name || ' ' || c_mktsegment) AS search_blob FROM customer)"
-ORACLE["screener_table"] = f"WITH {INDEX}, panel AS (SELECT isin, date, close, ln(close) AS logp FROM bars), ends AS (SELECT isin, min(date) AS d0, max(date) AS d1, count(*) AS n FROM panel GROUP BY isin){_anchors('1y')}{_RET}{_vol('1y')}{_LAST}, {LISTINGS}, {_PRIMARY}, {FUNDS}, perf AS (SELECT ends.isin, exp(l1 - a_1y.logp) - 1 AS ret_1y, CASE WHEN v_1y.m >= 2 THEN v_1y.vol END AS vol_1y FROM ends JOIN z ON z.isin = ends.isin LEFT JOIN a_1y ON a_1y.isin = ends.isin LEFT JOIN v_1y ON v_1y.isin = ends.isin), cov AS (SELECT isin, CAST(count(*) AS INTEGER) AS index_points, min(date) AS index_start FROM ix GROUP BY isin) SELECT f.isin, name, asset_class, domicile, round(aum_eur, 6) AS aum_eur, pea_eligible, cto_accessible, primary_ticker, primary_mic, primary_exchange, primary_currency, CAST(coalesce(n_listings, 0) AS SMALLINT) AS n_listings, round(ret_1y, 6) AS ret_1y, round(vol_1y, 6) AS vol_1y, index_points, index_start, index_points IS NOT NULL AS has_index, lower(concat_ws(' ', name, f.isin, CASE WHEN pl.isin IS NOT NULL THEN coalesce(all_tickers, '') END)) AS search_blob FROM funds f LEFT JOIN pl ON pl.isin = f.isin LEFT JOIN pn ON pn.isin = f.isin LEFT JOIN pt ON pt.isin = f.isin LEFT JOIN perf ON perf.isin = f.isin LEFT JOIN cov ON cov.isin = f.isin"
+ORACLE["screener_table"] = f"WITH {INDEX}, panel AS (SELECT isin, date, close, ln(close) AS logp FROM bars), ends AS (SELECT isin, min(date) AS d0, max(date) AS d1, count(*) AS n FROM panel GROUP BY isin){_anchors('1y')}{_RET}{_vol('1y')}{_LAST}, {LISTINGS}, {_PRIMARY}, {FUNDS}, perf AS (SELECT ends.isin, exp(l1 - a_1y.logp) - 1 AS ret_1y, CASE WHEN v_1y.m >= 2 THEN v_1y.vol END AS vol_1y FROM ends JOIN z ON z.isin = ends.isin LEFT JOIN a_1y ON a_1y.isin = ends.isin LEFT JOIN v_1y ON v_1y.isin = ends.isin), cov AS (SELECT isin, CAST(count(*) AS INTEGER) AS index_points, min(date) AS index_start FROM ix GROUP BY isin) SELECT f.isin, name, asset_class, domicile, round(aum_eur, 8) AS aum_eur, pea_eligible, cto_accessible, primary_ticker, primary_mic, primary_exchange, primary_currency, CAST(coalesce(n_listings, 0) AS SMALLINT) AS n_listings, round(ret_1y, 8) AS ret_1y, round(vol_1y, 8) AS vol_1y, index_points, index_start, index_points IS NOT NULL AS has_index, lower(concat_ws(' ', name, f.isin, CASE WHEN pl.isin IS NOT NULL THEN coalesce(all_tickers, '') END)) AS search_blob FROM funds f LEFT JOIN pl ON pl.isin = f.isin LEFT JOIN pn ON pn.isin = f.isin LEFT JOIN pt ON pt.isin = f.isin LEFT JOIN perf ON perf.isin = f.isin LEFT JOIN cov ON cov.isin = f.isin"
 ORACLE["screen_topk"] = f"WITH {FUNDS} SELECT isin, name, aum_eur FROM funds WHERE search_blob LIKE '%building%' AND pea_eligible IS TRUE AND aum_eur IS NOT NULL AND aum_eur >= 100 AND aum_eur <= 9000 ORDER BY aum_eur DESC NULLS LAST, isin LIMIT 300"
 ORACLE["screen_matches"] = f"WITH {FUNDS} SELECT count(*) AS n_match FROM funds WHERE asset_class = 'MACHINERY' AND cto_accessible IS NULL"
 ORACLE["facets"] = f"WITH {FUNDS} SELECT 'asset_class' AS facet, asset_class AS value, count(*) AS n FROM funds WHERE asset_class IS NOT NULL GROUP BY 2 UNION ALL SELECT 'domicile', domicile, count(*) FROM funds WHERE domicile IS NOT NULL GROUP BY 2"
@@ -161,9 +161,9 @@ ORACLE["category_map"] = "WITH c AS (SELECT p_partkey, CASE p_partkey % 7 WHEN 0
 ORACLE["orphan_anti"] = f"WITH {LISTINGS} SELECT isin, exchange_mic FROM listings WHERE isin NOT IN (SELECT CAST(p_partkey AS VARCHAR) FROM part WHERE p_size > 10)"
 ORACLE["tradable_semi"] = f"WITH {LISTINGS} SELECT CAST(p_partkey AS VARCHAR) AS isin, p_brand FROM part WHERE CAST(p_partkey AS VARCHAR) IN (SELECT isin FROM listings WHERE ticker IS NOT NULL)"
 ORACLE["claim_uniqueness"] = "WITH c AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS ticker, CAST(o_orderkey AS VARCHAR) AS isin FROM orders WHERE o_orderpriority = '1-URGENT') SELECT ticker, isin FROM (SELECT ticker, isin, count(*) OVER (PARTITION BY ticker) AS a, count(*) OVER (PARTITION BY isin) AS b FROM c) WHERE a = 1 AND b = 1"
-_UPSERT = f"WITH {BARS} SELECT isin, date, round(CASE WHEN date >= DATE '1999-01-05' THEN close * 2 ELSE close END, 6) AS close, currency FROM bars"
+_UPSERT = f"WITH {BARS} SELECT isin, date, round(CASE WHEN date >= DATE '1999-01-05' THEN close * 2 ELSE close END, 8) AS close, currency FROM bars"
 ORACLE["price_upsert"] = ORACLE["stream_refresh"] = _UPSERT
 ORACLE["store_manifest"] = f"WITH {BARS}, s AS (SELECT isin, min(date) AS first_date, max(date) AS last_date, count(*) AS bars FROM bars GROUP BY isin) SELECT s.*, b.currency, CASE WHEN s.isin = '1' THEN 'NEW' ELSE s_name END AS ticker FROM s JOIN bars b ON b.isin = s.isin AND b.date = s.last_date LEFT JOIN supplier ON CAST(s_suppkey AS VARCHAR) = s.isin"
 ORACLE["refresh_requests"] = f"WITH {BARS}, m AS (SELECT isin, max(date) AS d FROM bars WHERE date < DATE '1999-01-10' AND isin <> '3' GROUP BY isin) SELECT 'S' || CAST(s_suppkey % 40 AS VARCHAR) AS symbol, min(CASE WHEN d IS NULL THEN DATE '1990-01-01' ELSE CAST(d - INTERVAL 5 DAY AS DATE) END) AS start FROM supplier LEFT JOIN m ON m.isin = CAST(s_suppkey AS VARCHAR) GROUP BY 1"
 ORACLE["new_splits_anti"] = f"WITH {BARS} SELECT DISTINCT isin FROM raw WHERE l_linestatus = 'O' AND l_quantity = 1 AND date >= DATE '1999-01-01'"
-ORACLE["replace_refetched"] = f"WITH {BARS} SELECT isin, date, round(CASE WHEN CAST(isin AS INTEGER) % 4 = 0 AND date >= DATE '1999-01-05' THEN close * 2 ELSE close END, 6) AS close, currency FROM bars WHERE CASE WHEN CAST(isin AS INTEGER) % 4 = 0 AND isin IN (SELECT isin FROM bars WHERE date >= DATE '1999-01-05') THEN date >= DATE '1999-01-05' ELSE date < DATE '1999-01-10' END"
+ORACLE["replace_refetched"] = f"WITH {BARS} SELECT isin, date, round(CASE WHEN CAST(isin AS INTEGER) % 4 = 0 AND date >= DATE '1999-01-05' THEN close * 2 ELSE close END, 8) AS close, currency FROM bars WHERE CASE WHEN CAST(isin AS INTEGER) % 4 = 0 AND isin IN (SELECT isin FROM bars WHERE date >= DATE '1999-01-05') THEN date >= DATE '1999-01-05' ELSE date < DATE '1999-01-10' END"

@@ -31,7 +31,7 @@ def local_date(epoch: Column, zone: Column, offset: Column) -> Column:
 def bars(payloads: DataFrame) -> DataFrame:
     """isin, date, open, high, low, close, volume, currency: short arrays are filled with nulls, bars without a close dropped, of a day the last kept."""
     r = _result(payloads).withColumn("q", F.col("r.indicators.quote")[0])
-    zipped = F.arrays_zip(F.col("r.timestamp").alias("t"), *(F.col(f"q.{c}").alias(c) for c in ("open", "high", "low", "close", "volume")))
+    zipped = F.arrays_zip(F.col("r.timestamp").alias("t"), *(F.coalesce(F.col(f"q.{c}"), F.array().cast("array<double>")).alias(c) for c in ("open", "high", "low", "close", "volume")))
     rows = r.select("isin", "r.meta", F.posexplode(zipped).alias("at", "b")).where("b.t IS NOT NULL AND b.close IS NOT NULL")
     day = local_date(F.col("b.t"), F.col("meta.exchangeTimezoneName"), F.col("meta.gmtoffset"))
     last = rows.select("isin", day.alias("date"), "at", "b", "meta").groupBy("isin", "date").agg(F.max_by(F.struct("b", "meta"), "at").alias("x"))
