@@ -35,7 +35,7 @@ WEIGHTS = {"domain": {"web": 5, "books": 3, "forum": 2}, "lang": {"en": 4, "de":
 
 def default_domain(source: Column) -> Column:
     number = F.regexp_extract(source, "([0-9]{1,9})$", 1)
-    return F.when(number == "", None).otherwise(F.element_at(F.array(*map(F.lit, DOMAINS)), (number.cast("int") % len(DOMAINS) + 1)))
+    return F.when(source.isNotNull() & (number != ""), F.element_at(F.array(*map(F.lit, DOMAINS)), (F.coalesce(number.try_cast("int"), F.lit(0)) % len(DOMAINS) + 1)))
 
 
 def n_words(text: Column) -> Column:
@@ -81,11 +81,11 @@ def _key(seed: int, epoch: Column) -> Column:
 
 def cuts(light: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
     """``plan`` with whole (epochs taken whole) and cut: of the next epoch the documents whose key is not above it."""
-    plan = plan.where("tokens > 0").select(*LEAF, F.expr("budget div tokens").alias("whole"), F.expr("budget % tokens").alias("over"))
+    plan = plan.where("tokens > 0 AND budget > 0").select(*LEAF, F.expr("budget div tokens").alias("whole"), F.expr("budget % tokens").alias("over"))
     rows = light.join(plan, LEAF).withColumn("key", _key(seed, F.col("whole") + 1)).withColumn("part", F.substring("key", 1, 3))
     parts = rows.groupBy(*LEAF, "part").agg(F.sum("n_tokens").alias("n"), F.first("over").alias("over"))
     run = Window.partitionBy(*LEAF).orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
-    edge = parts.withColumn("upto", F.sum("n").over(run)).where("upto > over").groupBy(*LEAF).agg(F.min(F.struct("part", (F.col("upto") - F.col("n")).alias("before"))).alias("edge")).select(*LEAF, "edge.part", "edge.before")
+    edge = parts.withColumn("upto", F.sum("n").over(run)).where("over > 0 AND upto > over").groupBy(*LEAF).agg(F.min(F.struct("part", (F.col("upto") - F.col("n")).alias("before"))).alias("edge")).select(*LEAF, "edge.part", "edge.before")
     inside = rows.join(edge, [*LEAF, "part"])
     total = F.sum("n_tokens").over(Window.partitionBy(*LEAF).orderBy("key")) + F.col("before")
     last = inside.withColumn("total", total).where("total <= over").groupBy(*LEAF).agg(F.max("key").alias("last"))
