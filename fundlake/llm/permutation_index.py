@@ -69,7 +69,8 @@ def build(vectors: DataFrame, pivots: int = 256, prefix: int = 64, block: int =
     rows, _ = materialise(usable(vectors), "vectors")
     chosen = sorted((r.vec_id, r.v) for r in by_hash(rows, pivots, "vec_id").collect())
     dims = len(chosen[0][1]) if chosen else 0
-    table = np.array([v for _, v in chosen if len(v) == dims], float).reshape(-1, dims)
+    same = [v for _, v in chosen if len(v) == dims]
+    table = np.array(same, float).reshape(len(same), dims)
     rows = rows.where(F.size("v") == dims)
     n_blocks = max(1, -(-rows.count() // block))
 
