@@ -53,7 +53,7 @@ PATTERNS = [
     ("phone", r"(?<![0-9A-Za-z])\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .\-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}[ .\-][0-9]{4}(?![0-9])|(?<![0-9A-Za-z.\-])[0-9]{3}[.\- ][0-9]{3}[.\- ][0-9]{4}(?![0-9])"),
     ("ssn", r"(?<![0-9A-Za-z\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])"),
     ("card", r"(?<![0-9A-Za-z])[0-9]{4}(?:[ \-][0-9]{4}){3}(?![0-9])|(?<![0-9A-Za-z])[0-9]{13,19}(?![0-9A-Za-z])"),
-    ("name", r"(?<!\w)(?P<title>" + "|".join(sorted(_TITLE, key=len, reverse=True)) + r")\.? (?P<name>[^\W\d_a-z][^\W\d_]+(?: [^\W\d_a-z][^\W\d_]+)?)"),
+    ("name", r"(?<!\w)(?P<title>" + "|".join(sorted(_TITLE, key=len, reverse=True)) + r")\.? (?P<name>(?:[^\W\d_a-z]\. )*[^\W\d_a-z][^\W\d_]+(?:(?: [^\W\d_a-z]\.)* [^\W\d_a-z][^\W\d_]+)?)"),
 ]
 _ALL = re.compile("|".join(f"(?P<{k}_>{p})" for k, p in PATTERNS))
 #: No entity without one of these: a cheap test that most texts fail.
