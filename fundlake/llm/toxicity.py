@@ -84,7 +84,7 @@ def select(sample: DataFrame, features: int) -> np.ndarray:
     return np.sort(np.array([r.id for r in top.select("id").collect()], np.int64))
 
 
-def nnpu(x_p: list[np.ndarray], x_u: list[np.ndarray], size: int, prior: float, steps: int = 600, batch: int = 256, rate: float = 0.05, l2: float = 1e-4, seed: int = 3) -> tuple[np.ndarray, float]:
+def nnpu(x_p: list[np.ndarray], x_u: list[np.ndarray], size: int, prior: float, steps: int = 1500, batch: int = 256, rate: float = 0.02, l2: float = 1e-5, seed: int = 3) -> tuple[np.ndarray, float]:
     """Weights and bias of the linear model, by Adam on the logistic loss of mini-batches."""
     rng = np.random.default_rng(seed)
     w, m, v = (np.zeros(size + 1) for _ in range(3))  # the last is the bias
@@ -114,14 +114,15 @@ def nnpu(x_p: list[np.ndarray], x_u: list[np.ndarray], size: int, prior: float,
     return w[:-1], float(w[-1])
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = 3000, features: int = 4000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, most: int = 3000, features: int = 400) -> Model:
     """Fits on ``labels.toxic`` = 1 rows and on rows drawn from all documents, held-out rows excluded."""
     ship(docs.sparkSession)
     free = ~held_out()
     prior = labels.where(free & F.col("toxic").isNotNull()).agg(F.avg(F.col("toxic").cast("double"))).first()[0]
     positive = labelled(labels, "toxic", free & (F.col("toxic") == 1), most)
     unlabelled = by_hash(docs.select("doc_id").where(F.col("doc_id").isNotNull() & free), 2 * most).distinct().withColumn("label", F.lit(0))
-    sample = with_texts(docs, positive).unionByName(with_texts(docs, unlabelled)).select("label", "text")
+    # copies of one text would make all its n-grams look telling
+    sample = with_texts(docs, positive).unionByName(with_texts(docs, unlabelled)).select("label", "text").dropDuplicates()
     ids = select(sample, features) if prior else np.zeros(0, np.int64)
     if not len(ids):
         return Model(ids, np.zeros(0, np.float32), float(np.log(prior / (1 - prior))) if prior and prior < 1 else -35.0)
