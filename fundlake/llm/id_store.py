@@ -123,7 +123,7 @@ def word_encoder(path: str) -> PieceCache:
             lens[i] = len(out[i])
         return (np.concatenate(out) if out else np.zeros(0, np.uint32)), lens
 
-    return PieceCache(split, encode)
+    return PieceCache(split, encode, 600_000)
 
 
 def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:

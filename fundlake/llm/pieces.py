@@ -20,7 +20,7 @@ class PieceCache:
     pieces held; beyond it the cache starts anew.
     """
 
-    def __init__(self, split, encode, limit: int = 600_000):
+    def __init__(self, split, encode, limit: int = 200_000):
         self.split, self.encode, self.limit = split, encode, limit
         self.clear()
 

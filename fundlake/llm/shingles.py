@@ -20,7 +20,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
 class _Words(dict):
     """Hashes of words, made on first use; starts anew beyond ``limit`` words."""
 
-    limit = 500_000
+    limit = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:
