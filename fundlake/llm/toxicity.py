@@ -7,8 +7,9 @@ add to the negative risk is taken off, and a negative estimate is walked back up
 
 The prior is the share of label 1 among all labelled rows that may be learnt from.  At most ``most``
 positive and ``2 * most`` unlabelled rows (smallest hashes of doc_id) are used; their n-gram counts
-are summed on the executors and only the ``features`` n-grams that tell the two sets apart best reach
-the driver.  Scoring is one narrow pass without shuffle.
+are summed on the executors and only n-grams that tell the two sets apart reach the driver: those whose
+share among positives is higher by ``LEAST_Z`` standard errors and which, by the prior, are toxic in
+``LEAST_SHARE`` of the texts that have them (2^20 buckets bound their number).  Scoring is one narrow pass without shuffle.
 
 Defined cases: a null or empty text is scored like any other (no n-gram present); null doc_ids are
 kept; null labels teach nothing, of repeated labels the largest counts; without a confirmed toxic row
@@ -31,6 +32,7 @@ from fundlake.llm.sampling import by_hash, labelled, with_texts
 
 ORDERS, BITS = (4, 5, 6), 20
 SLICE = 1_500_000
+LEAST_Z, LEAST_SHARE = 4, 0.3
 
 
 @dataclass
@@ -56,8 +58,11 @@ def present(texts: list[str], chosen: np.ndarray | None) -> tuple[np.ndarray, np
     return pairs >> BITS, pairs & ((1 << BITS) - 1)
 
 
-def select(sample: DataFrame, features: int) -> np.ndarray:
-    """Buckets that most favour label 1: by signed root likelihood, present in three positive rows at least."""
+def select(sample: DataFrame, prior: float) -> np.ndarray:
+    """Buckets in which label 1 is surely commoner and, by the prior, not rare: however many they are.
+
+    There is no ranking and no cap: words of small groups would lose their places to those of large ones.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros((2, 1 << BITS), np.int32)
@@ -79,42 +84,34 @@ def select(sample: DataFrame, features: int) -> np.ndarray:
     if size is None or not size.p:
         return np.zeros(0, np.int64)
     rate_p, rate_u = (F.col("p") + 0.5) / (size.p + 1), (F.col("u") + 0.5) / (size.u + 1)
-    score = (F.log(rate_p) - F.log(rate_u)) * F.sqrt("p")
-    top = found.where("id >= 0").where(rate_p > 2 * rate_u).orderBy(score.desc(), "id").limit(features)
-    return np.sort(np.array([r.id for r in top.select("id").collect()], np.int64))
+    pool = (F.col("p") + F.col("u")) / (size.p + size.u)
+    surely = rate_p - rate_u > LEAST_Z * F.sqrt(pool * (1 - pool) * (1 / size.p + 1 / max(size.u, 1)))
+    telling = found.where("id >= 0").where(surely & (prior * rate_p > LEAST_SHARE * rate_u))
+    return np.sort(np.array([r.id for r in telling.select("id").collect()], np.int64))
 
 
-def nnpu(x_p: list[np.ndarray], x_u: list[np.ndarray], size: int, prior: float, steps: int = 1500, batch: int = 256, rate: float = 0.02, l2: float = 1e-5, seed: int = 3) -> tuple[np.ndarray, float]:
-    """Weights and bias of the linear model, by Adam on the logistic loss of mini-batches."""
-    rng = np.random.default_rng(seed)
+def nnpu(x_p: list[np.ndarray], x_u: list[np.ndarray], size: int, prior: float, steps: int = 400, rate: float = 0.05, l2: float = 1e-3) -> tuple[np.ndarray, float]:
+    """Weights and bias of the linear model, by Adam on the logistic loss of all rows."""
     w, m, v = (np.zeros(size + 1) for _ in range(3))  # the last is the bias
     w[-1] = np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))
+    (doc_p, f_p), (doc_u, f_u) = ((np.repeat(np.arange(len(x)), [len(r) for r in x]), np.concatenate(x).astype(np.int64)) for x in (x_p, x_u))
 
-    def scores(rows):
-        return np.array([w[r].sum() for r in rows]) + w[-1]
-
-    def gradient(rows, by):
-        g = np.zeros(size + 1)
-        for r, k in zip(rows, by):
-            g[r] += k
-        g[-1] = by.sum()
-        return g
+    def gradient(doc, f, by):
+        return np.append(np.bincount(f, by[doc], size), by.sum())
 
     sigmoid = lambda t: 1 / (1 + np.exp(-np.clip(t, -35, 35)))
     for t in range(1, steps + 1):
-        p = [x_p[i] for i in rng.integers(0, len(x_p), min(batch, len(x_p)))]
-        u = [x_u[i] for i in rng.integers(0, len(x_u), min(2 * batch, len(x_u)))]
-        s_p, s_u = scores(p), scores(u)
+        s_p, s_u = (np.bincount(doc, w[f], len(x)) + w[-1] for doc, f, x in ((doc_p, f_p, x_p), (doc_u, f_u, x_u)))
         negative = np.logaddexp(0, s_u).mean() - prior * np.logaddexp(0, s_p).mean()
-        down = gradient(u, sigmoid(s_u) / len(u)) - prior * gradient(p, sigmoid(s_p) / len(p))
-        g = prior * gradient(p, -sigmoid(-s_p) / len(p)) + down if negative >= 0 else -down
+        down = gradient(doc_u, f_u, sigmoid(s_u) / len(x_u)) - prior * gradient(doc_p, f_p, sigmoid(s_p) / len(x_p))
+        g = prior * gradient(doc_p, f_p, -sigmoid(-s_p) / len(x_p)) + down if negative >= 0 else -down
         g[:-1] += l2 * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return w[:-1], float(w[-1])
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = 3000, features: int = 400) -> Model:
+def train(docs: DataFrame, labels: DataFrame, most: int = 3000) -> Model:
     """Fits on ``labels.toxic`` = 1 rows and on rows drawn from all documents, held-out rows excluded."""
     ship(docs.sparkSession)
     free = ~held_out()
@@ -123,7 +120,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 3000, features: int =
     unlabelled = by_hash(docs.select("doc_id").where(F.col("doc_id").isNotNull() & free), 2 * most).distinct().withColumn("label", F.lit(0))
     # copies of one text would make all its n-grams look telling
     sample = with_texts(docs, positive).unionByName(with_texts(docs, unlabelled)).select("label", "text").dropDuplicates()
-    ids = select(sample, features) if prior else np.zeros(0, np.int64)
+    ids = select(sample, prior) if prior else np.zeros(0, np.int64)
     if not len(ids):
         return Model(ids, np.zeros(0, np.float32), float(np.log(prior / (1 - prior))) if prior and prior < 1 else -35.0)
     chosen = np.full(1 << BITS, -1, np.int32)
@@ -134,10 +131,10 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 3000, features: int =
             for at, texts in slices(b.column(1), SLICE):
                 doc, f = present(texts, chosen)
                 cuts = np.searchsorted(doc, np.arange(1, len(texts)))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(texts)), pa.array([x.tolist() for x in np.split(f, cuts)], pa.list_(pa.int64()))], ["label", "f"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(texts)), pa.array([x.tobytes() for x in np.split(f.astype(np.int32), cuts)], pa.binary())], ["label", "f"])
 
-    rows = sorted((r.label, tuple(r.f)) for r in sample.mapInArrow(run, "label int, f array<long>").collect())
-    x = [[np.array(f, np.int64) for label, f in rows if label == k] for k in (0, 1)]
+    rows = sorted((r.label, bytes(r.f)) for r in sample.mapInArrow(run, "label int, f binary").collect())
+    x = [[np.frombuffer(f, np.int32) for label, f in rows if label == k] for k in (0, 1)]
     if not x[1]:
         return Model(ids[:0], np.zeros(0, np.float32), float(np.log(prior / (1 - prior))) if prior < 1 else -35.0)
     w, b = nnpu(x[1], x[0] or [np.zeros(0, np.int64)], len(ids), min(prior, 0.99))

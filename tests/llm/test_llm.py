@@ -162,6 +162,15 @@ def test_op4_held_out(spark):
     assert got[got.toxic == 1].predicted.mean() - got[got.toxic == 0].predicted.mean() > 0.5
 
 
+def test_op4_finds_toxic_rows_of_every_language(spark):
+    sf = "/root/testdata/sf0.1"
+    labels, lang = spark.read.parquet(f"{sf}/labels.parquet"), spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
+    got = QUERIES["op4_toxicity"](spark, sf).join(labels, "doc_id").join(lang, "doc_id").where("held_out").toPandas()
+    assert (got[got.toxic == 1].predicted.mean() > 0.85) and (got[got.toxic == 0].predicted.mean() < 0.06)
+    small = got[got.lang != "en"]
+    assert (small[small.toxic == 1].predicted.mean() > 0.85) and (small[small.toxic == 0].predicted.mean() < 0.1)
+
+
 def test_op4_odd_rows(spark):
     labels = spark.createDataFrame([(3, 1, 1), (3, 0, 0), (4, None, None), (7, 0, 0), (None, 1, 1)], "doc_id long, toxic int, quality int")
     for lab in (labels, labels.limit(0), labels.where("toxic = 0")):
