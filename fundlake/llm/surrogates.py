@@ -1,7 +1,9 @@
 """Surrogates for personal data and secrets.
 
-``detect`` finds e-mail addresses, phone, card, account and social security numbers, IP addresses,
-access keys, secrets and names after a title.  Each entity (its type and canonical value, so that
+``detect`` finds e-mail addresses, phone, card, account and social security numbers, IP addresses
+(also version 6), access keys, secrets and names after a title in Latin, Cyrillic or Greek script; where
+a text has a titled name, also its full, given-name and family-name mentions without a title, as one
+entity (two persons of a text with one given or family name: the first has the bare mentions).  Each entity (its type and canonical value, so that
 "+1 (456) 555-2186" and "+1 456 555 2186" are one) gets a replacement drawn from an HMAC of a secret
 key: digits stay digits, letters letters of their case, country codes, key prefixes and top-level domains stay,
 card and account numbers keep valid check digits, names keep gender and script, and each mention keeps its own
@@ -24,7 +26,9 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -40,20 +44,23 @@ NAMES = {
     "cyrillic": {"f": ["Анна", "Вера", "Елена", "Мария", "Ольга"], "m": ["Антон", "Борис", "Иван", "Павел", "Юрий"], "family": ["Белов", "Громов", "Козлов", "Морозов", "Павлов", "Соколов"]},
     "greek": {"f": ["Άννα", "Ελένη", "Μαρία", "Σοφία"], "m": ["Αλέξης", "Νίκος", "Πέτρος", "Στέφανος"], "family": ["Δούκας", "Λάσκαρης", "Νικολάου", "Παππάς"]},
 }
-#: Titles that stand before a name, by the gender they tell.
-TITLES = {"f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra"], "m": ["Mr", "Herr", "Monsieur", "Señor", "Sr"]}
+#: Titles that stand before a name, by the gender they tell ("" where they tell none).
+TITLES = {"f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mademoiselle", "Mlle", "Señora", "Sra", "Doña", "Lady", "Dame", "Госпожа", "госпожа", "Г-жа", "г-жа", "Κυρία", "κυρία", "Κα", "κα"], "m": ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Sir", "Lord", "Господин", "господин", "Г-н", "г-н", "Κύριος", "κύριος", "Κύριο", "κύριο"], "": ["Dr", "Prof", "Professor", "Доктор", "доктор", "Профессор", "профессор", "Δρ", "Καθηγητής"]}
 
 _TITLE = {t: g for g, ts in TITLES.items() for t in ts}
+_UP = "[" + "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isupper() and c.isalpha()) + "]"
+_WORD = rf"{_UP}[^\W\d_]+(?:[-'’]{_UP}[^\W\d_]+)*"
 PATTERNS = [
     ("email", r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"),
     ("access_key", r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"),
     ("secret", r"(?i:(?<![a-z0-9])(?:password|passwd|pwd|token|secret|api[_-]?key)\s{0,2}[=:]\s{0,2}[\"']?)(?P<secret>[A-Za-z0-9+/_\-]{8,})"),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
+    ("ipv6", r"(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f]{0,4}:[0-9A-Fa-f:])(?:[0-9A-Fa-f]{0,4}:){2,7}(?:(?:[0-9]{1,3}\.){3}[0-9]{1,3}|[0-9A-Fa-f]{0,4})(?![0-9A-Za-z:])"),
     ("ip", r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?[0-9])"),
     ("phone", r"(?<![0-9A-Za-z])\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .\-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}[ .\-][0-9]{4}(?![0-9])|(?<![0-9A-Za-z.\-])[0-9]{3}[.\- ][0-9]{3}[.\- ][0-9]{4}(?![0-9])"),
     ("ssn", r"(?<![0-9A-Za-z\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])"),
     ("card", r"(?<![0-9A-Za-z])[0-9]{4}(?:[ \-][0-9]{4}){3}(?![0-9])|(?<![0-9A-Za-z])[0-9]{13,19}(?![0-9A-Za-z])"),
-    ("name", r"(?<!\w)(?P<title>" + "|".join(sorted(_TITLE, key=len, reverse=True)) + r")\.? (?P<name>(?:[^\W\d_a-z]\. )*[^\W\d_a-z][^\W\d_]+(?:(?: [^\W\d_a-z]\.)* [^\W\d_a-z][^\W\d_]+)?)"),
+    ("name", r"(?<!\w)(?P<title>" + "|".join(sorted(_TITLE, key=len, reverse=True)) + rf")\.? (?P<name>(?:{_UP}\. )*{_WORD}(?:(?: {_UP}\.)* {_WORD})?)"),
 ]
 _ALL = re.compile("|".join(f"(?P<{k}_>{p})" for k, p in PATTERNS))
 #: No entity without one of these: a cheap test that most texts fail.
@@ -73,6 +80,8 @@ def canonical(kind: str, value: str, title: str | None = None) -> str:
         return "".join(c for c in value if c.isdigit() or c == "+")
     if kind == "iban":
         return value.replace(" ", "")
+    if kind == "ipv6":
+        return ipaddress.IPv6Address(value).exploded
     if kind == "name":
         given = value.split()[0]
         gender = _TITLE.get(title or "") or next((g for s in NAMES.values() for g in "fm" if given in s[g]), "f")
@@ -80,17 +89,70 @@ def canonical(kind: str, value: str, title: str | None = None) -> str:
     return value
 
 
+def _words(name: str) -> list[str]:
+    """The words of a name that are not initials."""
+    return [w for w in name.split() if not w.endswith(".")]
+
+
+def _persons(names: list[tuple[str, str]]) -> dict[tuple[str, str], str]:
+    """The canonical value of each (title, name) of a text: titles and short forms of one person have the same."""
+    full, of = {}, {}
+    for title, name in sorted(set(names), key=lambda n: (not _TITLE[n[0]], names.index(n))):
+        if len(_words(name)) == 2:
+            # the title that tells a gender goes first; without one, the name is that of a gendered mention
+            same = next((v for v in full if v[2:] == name), None) if not _TITLE[title] else None
+            of[title, name] = same or canonical("name", name, title)
+            full[of[title, name]] = _words(name)
+    for title, name in names:
+        if len(_words(name)) == 1:
+            word, initial, gender = _words(name)[0], name[0] if name[1:2] == "." else "", _TITLE[title]
+            fits = [v for v, w in full.items() if word in (w if not initial else w[1:]) and gender in ("", v[0]) and w[0].startswith(initial)]
+            of[title, name] = min(fits, key=lambda v: full[v][1] != word) if fits else canonical("name", name, title)
+    return of
+
+
+def _mentions(values: list[str]) -> tuple[re.Pattern, dict[str, str]]:
+    """A pattern of the full, given and family names of persons, and the person of each."""
+    by = {}
+    for value in values:
+        by.setdefault(value[2:], value)
+    for value in values:
+        words = _words(value[2:])
+        for form in (" ".join(words), words[-1], words[0]):
+            by.setdefault(form, value)
+    forms = "|".join(re.escape(x) for x in sorted(by, key=len, reverse=True))
+    return re.compile(rf"(?<!\w)(?P<form>{forms})(?!\w)"), by
+
+
 def detect(text: str | None) -> list[tuple[int, int, str, str]]:
     """(first, end, type, canonical value) of the entities in a text, in order, without overlaps."""
     if not text or not _TRACE.search(text):
         return []
-    out = []
+    out, titles = [], {}
     for m in _ALL.finditer(text):
         kind = m.lastgroup if m.lastgroup.endswith("_") else next(k for k, v in m.groupdict().items() if v is not None and k.endswith("_"))
         kind = kind[:-1]
         group = {"secret": "secret", "name": "name"}.get(kind, 0)
-        out.append((m.start(group), m.end(group), kind, canonical(kind, m.group(group), m.group("title"))))
-    return out
+        if kind == "name":
+            titles[m.start(group)] = m.group("title"), m.group("name")
+            out.append((m.start(group), m.end(group), kind, ""))
+            continue
+        if kind == "ipv6" and not any(c.isdigit() for c in m.group()):  # a::b is code
+            continue
+        try:
+            out.append((m.start(group), m.end(group), kind, canonical(kind, m.group(group))))
+        except ipaddress.AddressValueError:  # a time or the like
+            pass
+    if not titles:
+        return out
+    of = _persons(list(titles.values()))
+    out = [(a, b, k, of[titles[a]] if k == "name" else v) for a, b, k, v in out]
+    pattern, by = _mentions([v for _, _, k, v in out if k == "name"])
+    at = 0
+    for a, b, _, _ in [*out, (len(text), len(text), "", "")]:
+        out += [(*m.span("form"), "name", by[m.group("form")]) for m in pattern.finditer(text, at, a)]
+        at = b
+    return sorted(out)
 
 
 class _Stream:
@@ -143,6 +205,8 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     if kind == "ip":
         low = {1: (1, 9), 2: (10, 90), 3: (100, 156)}
         return ".".join(str(low[len(p)][0] + s.below(low[len(p)][1])) for p in value.split("."))
+    if kind == "ipv6":
+        return value[:4] + s.alike(value[4:], hexadecimal=True)
     if kind == "access_key":
         return value[:4] + s.alike(value[4:])
     if kind == "secret":
@@ -150,17 +214,26 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     if kind == "name":
         gender, _, name = value.partition(":")
         names = NAMES[script_of(name)]
-        given, family = names[gender][s.below(len(names[gender]))], names["family"][s.below(len(names["family"]))]
+        # no part of a name is kept
+        givens, families = ([n for n in names[k] if n not in name.split()] for k in (gender, "family"))
+        given, family = givens[s.below(len(givens))], families[s.below(len(families))]
         initials = [names["family"][s.below(len(names["family"]))][0] + "." for _ in range(max(0, attempt - 3) // 2)]
         out = " ".join([given, *initials, family]) if " " in name else " ".join([*initials, family])
         return f"{gender}:{out}"
     return s.alike(value)
 
 
-def render(kind: str, mention: str, replacement: str) -> str:
-    """The replacement in the punctuation and case of a mention."""
+def render(kind: str, mention: str, replacement: str, value: str = "", others: frozenset[str] = frozenset()) -> str:
+    """The replacement in the punctuation and case of a mention; short for a short name, unless one of ``others`` shares the word."""
     if kind == "name":
-        return replacement.partition(":")[2]
+        whole, old, new = replacement[2:], _words(value[2:]), _words(replacement[2:])
+        short = _words(mention)
+        if len(old) == len(new) == 2 and len(short) == 1:
+            part = new[0] if short[0] == old[0] != old[1] else new[1]
+            return part if not any(part in _words(o[2:]) for o in others if o != replacement) else whole
+        return whole
+    if kind == "ipv6":
+        return ipaddress.IPv6Address(replacement).compressed
     if kind in ("phone", "card", "ssn", "iban"):
         chars = iter(replacement)
         return "".join(next(chars) if c.isalnum() or c == "+" else c for c in mention)
@@ -171,8 +244,9 @@ def render(kind: str, mention: str, replacement: str) -> str:
 
 def rewrite(text: str, by: dict[tuple[str, str], str]) -> str:
     out, at = [], 0
+    names = frozenset(new for (kind, _), new in by.items() if kind == "name")
     for first, end, kind, value in detect(text):
-        out += [text[at:first], render(kind, text[first:end], by[kind, value])]
+        out += [text[at:first], render(kind, text[first:end], by[kind, value], value, names)]
         at = end
     return "".join([*out, text[at:]])
 

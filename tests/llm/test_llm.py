@@ -344,6 +344,25 @@ def test_op8_coreference_and_distinctness(spark):
     assert got[1000].text == f"see {mail}" and got[None].text == f"x {mail}" and got[7].n_chars == len(got[7].text)
 
 
+def test_op8_mentions_of_one_person_share_a_surrogate(spark):
+    rows = [
+        (1, "Mr Tom Ray came. Tom Ray said so; Ray's hat, and Tom left. Mr Ray and Dr Tom Ray agree. Raymond stays."),
+        (2, "Господин Пётр Зайцев и Зайцев, затем Пётр."),
+        (3, "Η κυρία Ρένα Βλάχου και η Βλάχου."),
+        (4, "Prof. Zoe Quill, Lady Ivy Marsh: Quill met Marsh at 12:30:45."),
+        (5, "from 2001:db8::8a2e:370:7334 and 2001:DB8:0:0:0:8a2e:370:7334."),
+        (6, "Tom Ray without a title, a::b and 00:1a:2b:3c:4d:5e"),
+    ]
+    got = {r.doc_id: r for r in surrogates.replace(spark.createDataFrame(rows, "doc_id long, text string"), b"k").collect()}
+    for i, words in {1: ("Tom", "Ray"), 2: ("Пётр", "Зайцев"), 3: ("Ρένα", "Βλάχου"), 4: ("Zoe", "Quill", "Ivy", "Marsh"), 5: ("8a2e", "7334")}.items():
+        assert not [w for w in words if w in got[i].text.replace("Raymond", "").split() or f"{w}'s" in got[i].text or f"{w}," in got[i].text or f"{w}." in got[i].text]
+        assert got[i].n_entities == (2 if i == 4 else 1)
+    given, family = surrogates.detect(got[1].text)[0][3][2:].split()
+    assert got[1].text == rows[0][1].replace("Raymond", "#").replace("Tom", given).replace("Ray", family).replace("#", "Raymond")
+    assert "12:30:45" in got[4].text and got[6].text == rows[5][1]
+    assert len({v for _, _, k, v in surrogates.detect(got[5].text) if k == "ipv6"}) == 1
+
+
 def test_op8(spark, sf):
     old = texts(spark, sf)
     private = {(k, v) for t in old.values() for _, _, k, v in surrogates.detect(t)}
