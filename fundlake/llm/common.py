@@ -85,8 +85,8 @@ def spans(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lens), lens)
 
 
-def slices(column, most: int = 4_000_000):
-    """(first, texts) of runs of rows of an Arrow string column with about ``most`` bytes each; null is empty."""
+def cuts(column, most: int = 4_000_000):
+    """(first, number) of runs of rows of an Arrow string or binary column with about ``most`` bytes each."""
     import pyarrow.compute as pc
 
     sizes = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64))
@@ -94,5 +94,33 @@ def slices(column, most: int = 4_000_000):
     while at < len(column):
         done = sizes[at - 1] if at else 0
         to = max(at + 1, int(np.searchsorted(sizes, done + most, side="right")))
-        yield at, [x or "" for x in column.slice(at, to - at).to_pylist()]
+        yield at, to - at
         at = to
+
+
+def slices(column, most: int = 4_000_000):
+    """(first, texts) of runs of rows of an Arrow string column with about ``most`` bytes each; null is empty."""
+    for at, n in cuts(column, most):
+        yield at, [x or "" for x in column.slice(at, n).to_pylist()]
+
+
+def raw(column) -> tuple[np.ndarray, np.ndarray]:
+    """(ends of the rows from 0 on, all bytes) of an Arrow string or binary column without copying; null is empty."""
+    import pyarrow as pa
+
+    wide = pa.types.is_large_binary(column.type) or pa.types.is_large_string(column.type)
+    _, ends, data = column.buffers()
+    if not len(column):
+        return np.zeros(1, np.int64), np.zeros(0, np.uint8)
+    ends = np.frombuffer(ends, np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    held = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return ends - ends[0], held[ends[0] : ends[-1]]
+
+
+def binaries(values: np.ndarray, counts: np.ndarray):
+    """An Arrow binary column of ``values`` dealt out to rows of ``counts`` values each."""
+    import pyarrow as pa
+
+    ends = np.concatenate([[0], np.cumsum(counts) * values.itemsize]).astype(np.int64)
+    wide = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(np.ascontiguousarray(values).tobytes())])
+    return wide.cast(pa.binary())

@@ -34,8 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import Growing, discard, materialise, partitions, shared_folder, ship, slices
-from fundlake.llm.pieces import PieceCache
+from fundlake.llm.common import Growing, binaries, cuts, discard, materialise, partitions, raw, shared_folder, ship
+from fundlake.llm.distinct import DIGIT, GLUE, SPACE, Parts, classes, pieces
 
 ENCODED = "doc_id long, ids binary"
 BLOCKS = "part int, start long, doc_ids array<long>, doc_ids_n array<long>, n long, control binary, data binary"
@@ -74,16 +74,17 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 # ---------------------------------------------------------------- encoding texts
 
-_PLAIN = re.compile(r"([^\w\s'\x80-\U0010ffff]*)([a-zà-öø-ÿ]+)([^\w\s'\x80-\U0010ffff]*)")
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+_WORD = re.compile(r"[a-zà-öø-ÿ]+")
 
 
 @lru_cache(maxsize=2)
-def word_encoder(path: str) -> PieceCache:
-    """Pieces are runs without ASCII white space, ASCII letters in lower case, as bytes.
+def word_encoder(path: str) -> Parts:
+    """The ids of pieces.
 
     The tokenizer drops white space, lower-cases character by character and matches letters,
-    single digits and symbol runs, so no match or normal form reaches across white space.
-    Latin words take a tokenizer of the same model without the normaliser; others the whole one.
+    single digits and symbol runs.  Latin words take a tokenizer of the same model without the
+    normaliser, many at a time; other pieces the whole one.
     """
     from tokenizers import Tokenizer, pre_tokenizers
 
@@ -95,45 +96,44 @@ def word_encoder(path: str) -> PieceCache:
     for token, i in full.get_vocab(with_added_tokens=False).items():
         last[i] = token.endswith("</w>")
 
-    def split(piece: bytes) -> list:
-        s = unicodedata.normalize("NFC", piece.decode()).lower()
-        m = _PLAIN.fullmatch(s)
-        return [p.encode() for p in m.groups() if p] if m else [piece]
-
-    def encode(parts: list) -> tuple[np.ndarray, np.ndarray]:
-        words = [p.decode() for p in parts]
-        m = [bool(_PLAIN.fullmatch(w)) and w.isalpha() for w in words]
-        plain = [w for w, ok in zip(words, m) if ok]
-        lens = np.zeros(len(words), np.int64)
-        out: list = [None] * len(words)
-        if plain:
-            text = [" ".join(plain[i : i + 2000]) for i in range(0, len(plain), 2000)]
-            ids = np.concatenate([np.array(e.ids, np.uint32) for e in bare.encode_batch_fast(text, add_special_tokens=False)])
-            ends = np.flatnonzero(last[ids]) + 1
-            if len(ends) == len(plain):
-                where = np.flatnonzero(m)
-                lens[where] = np.diff(np.concatenate([[0], ends]))
-                for i, x in zip(where, np.split(ids, ends[:-1])):
-                    out[i] = x
-            else:  # never seen: a word that the model cut in two
-                m = [False] * len(words)
-        rest = [i for i, ok in enumerate(m) if not ok]
-        for i, e in zip(rest, full.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)):
-            out[i] = np.array(e.ids, np.uint32)
-            lens[i] = len(out[i])
-        return (np.concatenate(out) if out else np.zeros(0, np.uint32)), lens
-
-    return PieceCache(split, encode, 600_000)
+    def encode(pieces_: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        plain = [w for w in pieces_ if _WORD.fullmatch(w)]
+        rest = [w for w in pieces_ if not _WORD.fullmatch(w)]
+        text = [" ".join(plain[i : i + 2000]) for i in range(0, len(plain), 2000)]
+        ids = [np.array(e.ids, np.uint32) for e in bare.encode_batch_fast(text, add_special_tokens=False)]
+        ids = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+        ends = np.flatnonzero(last[ids]) + 1
+        if len(ends) != len(plain):  # never seen: a word that the model cut in two
+            plain, rest, ids, ends = [], [*plain, *rest], ids[:0], ends[:0]
+        others = [np.array(e.ids, np.uint32) for e in full.encode_batch_fast(rest, add_special_tokens=False)]
+        lens = np.concatenate([np.diff(ends, prepend=0), np.array([len(x) for x in others], np.int64)])
+        return [*plain, *rest], np.concatenate([ids, *others]), lens
+
+    return Parts(encode, 500_000)
+
+
+def cut_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of all texts, without white space and with ASCII letters in lower case, and their number in each text."""
+    ends, data = raw(texts)
+    c = classes(data)
+    kept = c < SPACE
+    starts = kept.copy()
+    starts[1:] &= ~kept[:-1] | ((c[1:] != c[:-1]) & (c[1:] > GLUE) & (c[:-1] > GLUE)) | ((c[1:] == DIGIT) & (c[:-1] == DIGIT))
+    first = ends[:-1][np.diff(ends) > 0]
+    starts[first] = kept[first]
+    where = np.flatnonzero(starts)
+    before = np.cumsum(kept) - kept
+    return pieces(_LOWER[data[kept]], before[where]), np.diff(np.searchsorted(where, ends))
+
+
+def encode_column(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of an Arrow column of whole texts joined, and ids per text, without special tokens; null is empty."""
+    return word_encoder(path).of_texts(*cut_words(texts))
 
 
 def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
     """Ids of whole texts, without special tokens."""
-    pieces, counts = [], []
-    for t in texts:
-        words = t.encode().lower().split()
-        counts.append(len(words))
-        pieces += words
-    flat, lens = word_encoder(path).ids(pieces, np.array(counts, np.int64))
+    flat, lens = encode_column(pa.array(texts, pa.string()), path)
     return np.split(flat, np.cumsum(lens)[:-1])
 
 
@@ -144,9 +144,9 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int, wide: bool = False) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at, texts in slices(b.column(1)):
-                ids = [np.append(x, end_id).astype(kind).tobytes() for x in encode_texts(texts, tokenizer)]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(texts)), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            for at, n in cuts(b.column(1)):
+                flat, lens = encode_column(b.column(1).slice(at, n), tokenizer)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, n), binaries(np.insert(flat.astype(kind), np.cumsum(lens), end_id), lens + 1)], ["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, ENCODED)
 
@@ -163,8 +163,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, end_id: i
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(vocabulary, np.int64)
         for b in batches:
-            for x in b.column(0).to_pylist():
-                n += np.bincount(np.frombuffer(x, kind), minlength=vocabulary)
+            n += np.bincount(raw(b.column(0))[1].view(kind), minlength=vocabulary)
         ids = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n[ids], pa.int64())], ["id", "n"])
 
