@@ -4,18 +4,19 @@ The model is built for the tokenizers library from the ranks: every byte is writ
 character (the byte table), and every way to split a token into two tokens becomes a merge of that
 token's rank, so any adjacent pair whose join is a token may merge, lowest rank first.
 
-Each match of the pre-tokenizing pattern is encoded separately.  A match always ends before a
-space or line feed that stands before a character that is not white space, so texts are cut there
-and each distinct piece is encoded once (see ``pieces``).
+Each match of the pre-tokenizing pattern is encoded separately.  Texts are cut where a match always
+ends, and a worker asks the library once for each distinct piece (see ``distinct``).
 
-``encode`` gives ids and, on request, each token's character offsets: byte lengths of the tokens are
-summed and mapped through the byte-to-character table of the text; a token that holds only part of
-a character spans that whole character.  ``decode`` reverses the byte table and joins bytes before
-it decodes them, so characters split over tokens come back whole.
+``encode`` gives ids and, on request, each token's character offsets, as the library gives them: byte
+lengths of the tokens are summed and mapped through the byte-to-character table of the text; a token
+that holds only part of a character spans that whole character.  ``decode`` turns the characters of each
+token back into bytes by the reversed byte table and joins bytes before it decodes them, so characters split
+over tokens come back whole.
 
 Defined cases: a null or empty text has no ids; a null doc_id is kept; repeated rows are encoded
 each; other columns are ignored; an empty table gives no rows.  At scale: one narrow pass, no
-shuffle, nothing broadcast, memory bounded by the piece cache and about 4 MB of text at a time.
+shuffle, nothing broadcast; a worker holds its pieces (a bounded number) and the texts it works on: 4 MB, or one
+longer text, at about 40 bytes for each of its bytes.
 """
 
 from __future__ import annotations
@@ -31,12 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import ship, slices
-from fundlake.llm.pieces import PieceCache
+from fundlake.llm.common import cuts, raw, ship
+from fundlake.llm.distinct import BLANK, GLUE, LETTER, SPACE, SYMBOL, Parts, classes, pieces
 
-_CUT = re.compile(r"(?=[ \n]\S)")
-_PLAIN = re.compile(r"(\n?)( ?[^\w\s'\x80-\U0010ffff]*)([A-Za-zÀ-ÖØ-öø-ÿ]+)([^\w\s'\x80-\U0010ffff]*)")
 _WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: Cuts between two known characters: white space after a word, a word after a line feed or a tab, a change of class.
+_BETWEEN = np.zeros((6, 6), bool)
+_BETWEEN[LETTER : SYMBOL + 1, LETTER:] = ~np.eye(3, 5, dtype=bool)
+_BETWEEN[BLANK, LETTER : SYMBOL + 1] = True
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -51,6 +54,22 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in kept else chr(next(moved)) for b in range(256)]
 
 
+def cut_matches(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All texts cut into pieces of whole matches, and the number of pieces of each."""
+    ends, data = raw(texts)
+    c = classes(data)
+    starts = np.zeros(len(c), bool)
+    starts[1:] = _BETWEEN[c[:-1], c[1:]]
+    # the last white space before a word never belongs to the match before it
+    before_word = np.zeros(len(c), bool)
+    before_word[:-1] = (c[1:] > GLUE) & (c[1:] < SPACE)
+    before_word[ends[1:][np.diff(ends) > 0] - 1] = False
+    starts |= (c >= SPACE) & before_word
+    starts[ends[:-1][np.diff(ends) > 0]] = True
+    where = np.flatnonzero(starts)
+    return pieces(data, where), np.diff(np.searchsorted(where, ends))
+
+
 class ByteBpe:
     """The codec of one rank file and pattern."""
 
@@ -66,54 +85,45 @@ class ByteBpe:
         self.full, self.words = Tokenizer(model), Tokenizer(model)
         self.full.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex(pattern), "isolated"), as_bytes])
         self.words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split("\n", "removed"), as_bytes])
-        self.bytes: list[bytes] = [b""] * (max(ranks.values()) + 1)
-        for t, r in ranks.items():
-            self.bytes[r] = t
+        # the byte table reversed: a token's characters, as the library's vocabulary has them, back to bytes
+        byte = {c: b for b, c in enumerate(chars)}
+        tokens = self.full.get_vocab()
+        self.bytes: list[bytes] = [b""] * (max(tokens.values()) + 1)
+        for token, i in tokens.items():
+            self.bytes[i] = bytes(map(byte.__getitem__, token))
         self.sizes = np.array([len(t) for t in self.bytes], np.int64)
         self.decimal = [b"%d " % i for i in range(len(self.bytes))]
-        self.cache = PieceCache(self._split, self._encode)
-
-    def _split(self, piece: str) -> list[str]:
-        m = _PLAIN.fullmatch(piece)
-        if not m:
-            return [piece]
-        feed, lead, word, trail = m.groups()
-        if lead == " ":
-            lead, word = "", " " + word
-        return [p for p in (feed, lead, word, trail) if p]
-
-    def _encode(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        lens, out = np.zeros(len(parts), np.int64), [None] * len(parts)
-        plain = [i for i, p in enumerate(parts) if _WORD.fullmatch(p)]
-        for k in range(0, len(plain), 2000):
-            some = plain[k : k + 2000]
-            ids = np.array(self.words.encode("\n".join(parts[i] for i in some), add_special_tokens=False).ids, np.uint32)
-            cuts = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(parts[i].encode()) for i in some])) + 1
-            for i, x in zip(some, np.split(ids, cuts[:-1])):
-                out[i], lens[i] = x, len(x)
-        rest = [i for i, x in enumerate(out) if x is None]
-        for i, e in zip(rest, self.full.encode_batch_fast([parts[i] for i in rest], add_special_tokens=False)):
-            out[i] = np.array(e.ids, np.uint32)
-            lens[i] = len(out[i])
-        return (np.concatenate(out) if out else np.zeros(0, np.uint32)), lens
+        self.parts = Parts(self._encode, 400_000)
+
+    def _encode(self, pieces_: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Words many at a time, told apart again by their lengths in bytes; other pieces one by one."""
+        plain = [p for p in pieces_ if _WORD.fullmatch(p)]
+        rest = [p for p in pieces_ if not _WORD.fullmatch(p)]
+        ids, lens = [], []
+        groups = [plain[k : k + 2000] for k in range(0, len(plain), 2000)]
+        for some, e in zip(groups, self.words.encode_batch_fast(["\n".join(some) for some in groups], add_special_tokens=False)):
+            ids.append(np.array(e.ids, np.uint32))
+            lens.append(np.diff(np.searchsorted(np.cumsum(self.sizes[ids[-1]]), np.cumsum([len(p.encode()) for p in some])) + 1, prepend=0))
+        for e in self.full.encode_batch_fast(rest, add_special_tokens=False):
+            ids.append(np.array(e.ids, np.uint32))
+            lens.append([len(ids[-1])])
+        return [*plain, *rest], np.concatenate(ids), np.concatenate(lens).astype(np.int64)
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of an Arrow column of texts joined, and ids per text; null is empty."""
+        return self.parts.of_texts(*cut_matches(texts))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        pieces, counts = [], []
-        for t in texts:
-            cut = _CUT.split(t) if t else []
-            if cut and not cut[0]:
-                del cut[0]
-            counts.append(len(cut))
-            pieces += cut
-        flat, lens = self.cache.ids(pieces, np.array(counts, np.int64))
+        flat, lens = self.encode_column(pa.array(texts, pa.string()))
         return np.split(flat, np.cumsum(lens)[:-1])
 
-    def offsets(self, text: str, ids: np.ndarray) -> np.ndarray:
-        """Rows (first, end) of characters that each id covers."""
-        raw = np.frombuffer(text.encode(), np.uint8)
-        char = np.cumsum((raw & 0xC0) != 0x80) - 1
-        ends = np.cumsum(self.sizes[ids])
-        return np.stack([char[ends - self.sizes[ids]], char[ends - 1] + 1], axis=1) if len(ids) else np.zeros((0, 2), np.int64)
+    def offsets(self, texts: pa.Array, ids: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and end character, in its own text, of each of the texts' ids: a token that holds part of a character spans it."""
+        ends, data = raw(texts)
+        character = np.cumsum((data & 0xC0) != 0x80) - 1
+        upto = np.cumsum(self.sizes[ids])
+        start = np.repeat(np.append(character, 0)[np.minimum(ends[:-1], max(len(data) - 1, 0))], lens)
+        return character[upto - self.sizes[ids]] - start, character[upto - 1] + 1 - start
 
     def decode_bytes(self, ids) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
@@ -136,14 +146,12 @@ def encode(docs: DataFrame, path: str, pattern: str, offsets: bool = False) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, names = codec(path, pattern), ["doc_id", "ids", "first", "ends"][: 2 + 2 * offsets]
         for b in batches:
-            for at, texts in slices(b.column(1)):
-                ids = bpe.encode(texts)
-                ends = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32))
-                columns = [np.concatenate(ids)]
-                if offsets:
-                    where = [bpe.offsets(t, x) for t, x in zip(texts, ids)]
-                    columns += [np.concatenate([w[:, k] for w in where]) for k in (0, 1)]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(texts)), *(pa.ListArray.from_arrays(ends, pa.array(c.astype(np.int32))) for c in columns)], names)
+            for at, n in cuts(b.column(1)):
+                texts = b.column(1).slice(at, n)
+                ids, lens = bpe.encode_column(texts)
+                bounds = pa.array(np.concatenate([[0], np.cumsum(lens)]).astype(np.int32))
+                columns = [ids, *(bpe.offsets(texts, ids, lens) if offsets else ())]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, n), *(pa.ListArray.from_arrays(bounds, pa.array(c.astype(np.int32))) for c in columns)], names)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, kind)
 
@@ -162,16 +170,27 @@ def decode(rows: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (decimal ids joined by a space), decoded_sha256 (the bytes that the ids give)."""
+    """doc_id, n_tokens, ids_sha256 (decimal ids joined by a space), decoded_sha256 (the bytes that the ids give),
+    n_split (tokens that start or end inside a character) and last_char (where the last token ends, in characters)."""
     ship(docs.sparkSession)
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_split", "last_char"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path, pattern)
         for b in batches:
-            for at, texts in slices(b.column(1)):
-                ids = [x.tolist() for x in bpe.encode(texts)]
+            for at, n in cuts(b.column(1)):
+                texts = b.column(1).slice(at, n)
+                flat, lens = bpe.encode_column(texts)
+                ends = np.cumsum(lens)
+                ids = [x.tolist() for x in np.split(flat, ends[:-1])]
                 said = [hashlib.sha256(b"".join(map(bpe.decimal.__getitem__, x))[:-1]).hexdigest() for x in ids]
                 back = [hashlib.sha256(bpe.decode_bytes(x)).hexdigest() for x in ids]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(texts)), pa.array([len(x) for x in ids], pa.int64()), pa.array(said), pa.array(back)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+                first, end = bpe.offsets(texts, flat, lens)
+                overlap = np.zeros(len(flat) + 1, np.int64)  # a token that starts before the end of the one before it shares a character
+                overlap[1:-1] = first[1:] < end[:-1]
+                overlap[ends[lens > 0] - lens[lens > 0]] = 0
+                split = np.concatenate([[0], np.cumsum((overlap[:-1] | overlap[1:]) > 0)])
+                last = np.where(lens > 0, np.append(end, 0)[np.maximum(ends - 1, 0)], 0)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, n), pa.array(lens), pa.array(said), pa.array(back), pa.array(split[ends] - split[ends - lens]), pa.array(last)], names)
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_split long, last_char long")

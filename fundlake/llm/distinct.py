@@ -43,33 +43,37 @@ class Parts:
     """Ids of pieces, looked up or learnt.
 
     ``encode(pieces)`` gives (the pieces in the order it likes, their ids joined, ids per piece).
-    ``limit`` bounds the pieces held; beyond it they are learnt anew.
+    ``limit`` bounds the pieces held; beyond it only those of the slice at hand are kept.
     """
 
     def __init__(self, encode, limit: int):
         self.encode, self.limit = encode, limit
-        self.clear()
-
-    def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat, self.start, self.len = Growing(np.uint32), Growing(np.int64), Growing(np.int64)
+        self._hold([], np.zeros(0, np.uint32), np.zeros(0, np.int64), anew=True)
+
+    def _hold(self, keys: list[str], flat: np.ndarray, lens: np.ndarray, anew: bool = False) -> None:
+        if anew:
+            self.index: dict[str, int] = {}
+            self.flat, self.start, self.len = Growing(np.uint32), Growing(np.int64), Growing(np.int64)
+        n = len(self.index)
+        self.start.extend(self.flat.n + np.cumsum(lens) - lens)
+        self.len.extend(lens)
+        self.flat.extend(flat)
+        self.index.update(zip(keys, range(n, n + len(keys))))
+
+    def _look_up(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        at = np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))
+        lens = self.len.data[at]
+        return self.flat.data[spans(self.start.data[at], lens)], lens
 
     def ids(self, pieces_: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all distinct ``pieces_`` joined, and the number of each one's ids."""
         missing = [p for p in pieces_ if p not in self.index]
-        if len(self.index) + len(missing) > self.limit:
-            self.clear()
-            missing = pieces_
         if missing:
-            keys, flat, lens = self.encode(missing)
-            n = len(self.index)
-            self.start.extend(self.flat.n + np.cumsum(lens) - lens)
-            self.len.extend(lens)
-            self.flat.extend(flat)
-            self.index.update(zip(keys, range(n, n + len(keys))))
-        at = np.fromiter(map(self.index.__getitem__, pieces_), np.int64, len(pieces_))
-        lens = self.len.data[at]
-        return self.flat.data[spans(self.start.data[at], lens)], lens
+            if len(self.index) + len(missing) > self.limit:
+                known = [p for p in pieces_ if p in self.index]
+                self._hold(known, *self._look_up(known), anew=True)
+            self._hold(*self.encode(missing))
+        return self._look_up(pieces_)
 
     def of_texts(self, pieces_: pa.Array, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts joined, and the number of each text's ids; ``counts``: pieces of each text."""

@@ -84,13 +84,27 @@ def tik():
 
 
 def test_op2_fuzz_and_offsets(tik):
-    bpe, some = byte_bpe.codec(RANKS, public_tokenizers.PATTERN), fuzz(5000, 2)
-    for t, ids in zip(some, bpe.encode(some)):
-        assert ids.tolist() == tik.encode_ordinary(t) and bpe.decode(ids) == t
-        where = bpe.offsets(t, ids)
-        if len(ids):
-            assert where[0, 0] == 0 and where[-1, 1] == len(t) and (where[1:, 0] <= where[:-1, 1]).all()
+    import pyarrow as pa
+
+    bpe, some = byte_bpe.codec(RANKS, public_tokenizers.PATTERN), ["", *fuzz(5000, 2), "a  \n", "\n", "x \n\n y", "  b", "don't 'tis !'s it''s", "12ab3_c \t!!", "né,è×ù÷"]
+    ids = bpe.encode(some)
+    lens = np.array([len(x) for x in ids])
+    first, end = (np.split(x, np.cumsum(lens)[:-1]) for x in bpe.offsets(pa.array(some), np.concatenate(ids), lens))
+    for t, x, a, z in zip(some, ids, first, end):
+        assert x.tolist() == tik.encode_ordinary(t) and bpe.decode(x) == t
+        own = bpe.full.encode(t, add_special_tokens=False)
+        assert own.ids == x.tolist() and own.offsets == list(zip(a.tolist(), z.tolist()))
     assert bpe.decode(bpe.encode(["漢"])[0][:1]) == "�"
+    assert bpe.bytes == [t for t, _ in sorted(byte_bpe.read_ranks(RANKS).items(), key=lambda x: x[1])]
+
+
+def test_op2_split_characters(spark, tik):
+    rows = [(1, "漢字 ab é"), (2, ""), (3, "plain"), (4, "💥漢x")]
+    got = {r.doc_id: r for r in byte_bpe.round_trip(spark.createDataFrame(rows, "doc_id long, text string"), RANKS, public_tokenizers.PATTERN).collect()}
+    for i, t in rows:
+        ids = tik.encode_ordinary(t)
+        split = sum(b"\xef\xbf\xbd" in tik.decode_single_token_bytes(x).decode("utf-8", "replace").encode() for x in ids)
+        assert (got[i].n_tokens, got[i].n_split, got[i].last_char) == (len(ids), split, len(t))
 
 
 def test_op2(spark, sf, tik):
