@@ -28,21 +28,30 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a folder of our own only where that is unset."""
+    """The cluster's ``spark.checkpoint.dir``; a folder of our own only where that is unset and Spark runs in one process."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if base is None:
         base = spark.sparkContext.getCheckpointDir()
     if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="fundlake-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
 
 
+_made: list[str] = []
+
+
 def materialise(df: DataFrame, tag: str, codec: str = "zstd") -> tuple[DataFrame, str]:
-    """Writes ``df`` to the shared folder and reads it back: a lost executor costs no earlier work."""
+    """Writes ``df`` to the shared folder and reads it back: a lost executor costs no earlier work.
+
+    The table stays until ``discard`` or ``release``: what an operator returns may read it.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/fundlake/{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
+    _made.append(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -51,6 +60,19 @@ def discard(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        if path in _made:
+            _made.remove(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Removes every intermediate table that is left; for a caller that has written what its operators returned."""
+    discard(spark, *_made)
+
+
+def plain_names(df: DataFrame, *without: str) -> tuple[DataFrame, list[str]]:
+    """``df`` without some columns, the others named c0, c1, ... so that no working column can clash; their own names."""
+    own = [c for c in df.columns if c not in without]
+    return df.drop(*without).toDF(*(f"c{i}" for i in range(len(own)))), own
 
 
 def partitions(spark: SparkSession) -> int:

@@ -17,7 +17,7 @@ beyond that the join has one row for each leaf on one side, and adaptive executi
 
 Defined cases: null domain, language or source counts as ``none``; a null or empty text has no tokens; a leaf without
 tokens is taken in no epoch; rows that repeat a doc_id (and null doc_ids, which count as ``none``) are
-taken or left together; an empty table gives no rows.
+taken or left together; other columns, of whatever name, are kept; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import materialise
+from fundlake.llm.common import materialise, plain_names
 
 LEAF = ["domain", "lang", "source"]
 #: Query parameters: domains by the number that ends a source's name, and weights by level.
@@ -75,14 +75,14 @@ def budgets(leaves: DataFrame, weights: dict, share: Column, epochs: int) -> Dat
     return leaves.join(amount.withColumnRenamed("amount", "budget"), LEAF)
 
 
-def _key(seed: int, epoch: Column) -> Column:
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).cast("binary"))
+def _key(seed: int, epoch: Column, doc_id: Column) -> Column:
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("none"))).cast("binary"))
 
 
 def cuts(light: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
     """``plan`` with whole (epochs taken whole) and cut: of the next epoch the documents whose key is not above it."""
     plan = plan.where("tokens > 0 AND budget > 0").select(*LEAF, F.expr("budget div tokens").alias("whole"), F.expr("budget % tokens").alias("over"))
-    rows = light.join(plan, LEAF).withColumn("key", _key(seed, F.col("whole") + 1)).withColumn("part", F.substring("key", 1, 3))
+    rows = light.join(plan, LEAF).withColumn("key", _key(seed, F.col("whole") + 1, F.col("doc_id"))).withColumn("part", F.substring("key", 1, 3))
     parts = rows.groupBy(*LEAF, "part").agg(F.sum("n_tokens").alias("n"), F.first("over").alias("over"))
     run = Window.partitionBy(*LEAF).orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
     edge = parts.withColumn("upto", F.sum("n").over(run)).where("over > 0 AND upto > over").groupBy(*LEAF).agg(F.min(F.struct("part", (F.col("upto") - F.col("n")).alias("before"))).alias("edge")).select(*LEAF, "edge.part", "edge.before")
@@ -96,15 +96,16 @@ def cuts(light: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
 def mix(docs: DataFrame, weights: dict | None = None, percent: int = 60, epochs: int = 3, seed: int = 17, domain=default_domain, tokens=n_words) -> DataFrame:
     """The rows of ``docs``, each as often as it is taken, with epoch, domain and n_tokens (columns of those names are replaced)."""
     weights = WEIGHTS if weights is None else weights
-    own = [c for c in docs.columns if c not in ("epoch", "domain", "n_tokens")]
+    rows, own = plain_names(docs, "epoch", "domain", "n_tokens")
+    doc_id, text, lang, source = (F.col(f"c{own.index(c)}") for c in ("doc_id", "text", "lang", "source"))
     none = lambda c: F.coalesce(c.cast("string"), F.lit("none"))
-    leaf = [none(domain(F.col("source"))).alias("domain"), none(F.col("lang")).alias("lang"), none(F.col("source")).alias("source")]
-    light, _ = materialise(docs.select("doc_id", *leaf, tokens(F.col("text")).alias("n_tokens")), "leaves")
+    leaf = [none(domain(source)).alias("domain"), none(lang).alias("lang"), none(source).alias("source")]
+    light, _ = materialise(rows.select(doc_id.alias("doc_id"), *leaf, tokens(text).alias("n_tokens")), "leaves")
     leaves = light.groupBy(*LEAF).agg(F.sum("n_tokens").alias("tokens"))
     plan = budgets(leaves, weights, F.expr(f"all * {int(percent)} div 100"), epochs)
     cut, _ = materialise(cuts(light, plan, seed), "cuts")
-    cut = cut.select(F.struct(*LEAF).alias("leaf_"), F.col("whole").alias("whole_"), F.col("cut").alias("cut_"))
-    rows = docs.select(*own, F.struct(*leaf).alias("leaf_")).join(cut, "leaf_")
-    taken = F.when(F.col("cut_").isNotNull() & (_key(seed, F.col("whole_") + 1) <= F.col("cut_")), 1).otherwise(0)
-    rows = rows.withColumn("times_", (F.col("whole_") + taken).cast("int")).where("times_ > 0")
-    return rows.select(*own, F.explode(F.sequence(F.lit(1), F.col("times_"))).alias("epoch"), F.col("leaf_.domain").alias("domain"), tokens(F.col("text")).alias("n_tokens"))
+    cut = cut.select(F.struct(*LEAF).alias("leaf"), "whole", "cut")
+    taken = F.when(F.col("cut").isNotNull() & (_key(seed, F.col("whole") + 1, doc_id) <= F.col("cut")), 1).otherwise(0)
+    rows = rows.withColumn("leaf", F.struct(*leaf)).join(cut, "leaf").withColumn("times", (F.col("whole") + taken).cast("int")).where("times > 0")
+    out = rows.select(*(F.col(f"c{i}") for i in range(len(own))), F.explode(F.sequence(F.lit(1), F.col("times"))).alias("epoch"), F.col("leaf.domain").alias("domain"), tokens(text).alias("n_tokens"))
+    return out.toDF(*own, "epoch", "domain", "n_tokens")

@@ -11,15 +11,18 @@ punctuation.  The same entity has the same surrogate in every document (corefere
 
 Distinctness is checked over the whole corpus: a surrogate that two entities of a type drew, or that
 is itself an entity of the corpus, is kept by the smallest entity (or none) and the others draw
-again, round after round, until all differ.  Names get initials once plain names are used up.
+again, round after round, until all differ: from the fifth round on every round draws from longer forms, so
+that the rounds end however full a short shape is.
+
+Card and account numbers are entities only with valid check digits.
 
 At scale: texts without a trace of an entity pass through one narrow scan; the others, a small
 share, are written once; what is shuffled is distinct entities and those texts' keys.  Rounds are
 joins and aggregates over distinct entities; nothing is collected or broadcast.
 
 Defined cases: null and empty texts and null ids stay as they are; n_chars, where it is a column and not
-null, follows the new text; repeated rows are each rewritten; other columns are kept; an empty table
-gives no rows.
+null, follows the new text; repeated rows are each rewritten alike; other columns, of whatever name, are kept; an
+empty table gives no rows; a text is worked on whole, at a few bytes of memory for each of its own.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fundlake.llm.common import materialise, ship, slices
+from fundlake.llm.common import materialise, plain_names, ship, slices
 
 #: Given names by gender and family names, by script.
 NAMES = {
@@ -47,6 +50,9 @@ NAMES = {
 #: Titles that stand before a name, by the gender they tell ("" where they tell none).
 TITLES = {"f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mademoiselle", "Mlle", "Señora", "Sra", "Doña", "Lady", "Dame", "Госпожа", "госпожа", "Г-жа", "г-жа", "Κυρία", "κυρία", "Κα", "κα"], "m": ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Sir", "Lord", "Господин", "господин", "Г-н", "г-н", "Κύριος", "κύριος", "Κύριο", "κύριο"], "": ["Dr", "Prof", "Professor", "Доктор", "доктор", "Профессор", "профессор", "Δρ", "Καθηγητής"]}
 
+#: Attempts that keep the shape of a value.
+KEEP_SHAPE = 4
+
 _TITLE = {t: g for g, ts in TITLES.items() for t in ts}
 _UP = "[" + "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isupper() and c.isalpha()) + "]"
 _WORD = rf"{_UP}[^\W\d_]+(?:[-'’]{_UP}[^\W\d_]+)*"
@@ -140,9 +146,12 @@ def detect(text: str | None) -> list[tuple[int, int, str, str]]:
         if kind == "ipv6" and not any(c.isdigit() for c in m.group()):  # a::b is code
             continue
         try:
-            out.append((m.start(group), m.end(group), kind, canonical(kind, m.group(group))))
+            value = canonical(kind, m.group(group))
         except ipaddress.AddressValueError:  # a time or the like
-            pass
+            continue
+        if kind == "card" and luhn(value[:-1]) != value[-1] or kind == "iban" and _rest(value[4:] + value[:4]) != 1:
+            continue  # an order or part number
+        out.append((m.start(group), m.end(group), kind, value))
     if not titles:
         return out
     of = _persons(list(titles.values()))
@@ -183,44 +192,57 @@ def luhn(body: str) -> str:
     return str(-total % 10)
 
 
+def _rest(text: str) -> int:
+    """What is left of an account number, letters as two digits, over 97."""
+    return int("".join(str(int(c, 36)) for c in text)) % 97
+
+
 def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
-    """The canonical form of an entity's replacement at the given attempt."""
+    """The canonical form of an entity's replacement at the given attempt.
+
+    The first ``KEEP_SHAPE`` attempts keep the shape of the value.  From then on every attempt adds a letter, digit
+    or initial (addresses first take octets of any length, then become version 6), so that the forms to draw
+    from outnumber any corpus after a few rounds.
+    """
     s = _Stream(key, kind, value, attempt)
+    more = max(0, attempt - KEEP_SHAPE + 1)
     if kind == "email":
         local, _, domain = value.partition("@")
         host, _, top = domain.rpartition(".")
-        return f"{s.alike(local)}@{s.alike(host)}.{top}"
+        return f"{s.alike(local + 'x' * more)}@{s.alike(host)}.{top}"
     if kind == "phone":
+        digits = value + "0" * more
         if value.startswith("+"):
             code = 1 if value[1] in "17" else 2
-            return value[: 1 + code] + str(2 + s.below(8)) + s.alike(value[2 + code :])
-        return str(2 + s.below(8)) + s.alike(value[1:])
+            return value[: 1 + code] + str(2 + s.below(8)) + s.alike(digits[2 + code :])
+        return str(2 + s.below(8)) + s.alike(digits[1:])
     if kind == "card":
-        body = value[0] + s.alike(value[1:-1])
+        body = value[0] + s.alike(value[1:-1] + "0" * more)
         return body + luhn(body)
     if kind == "iban":
-        body = s.alike(value[4:])
-        digits = "".join(str(int(c, 36)) for c in body + value[:2] + "00")
-        return f"{value[:2]}{98 - int(digits) % 97:02d}{body}"
+        body = s.alike(value[4:] + "0" * more)
+        return f"{value[:2]}{98 - _rest(body + value[:2] + '00'):02d}{body}"
     if kind == "ip":
-        low = {1: (1, 9), 2: (10, 90), 3: (100, 156)}
+        if more > KEEP_SHAPE:
+            return ipaddress.IPv6Address("fd00" + "".join(":" + s.alike("0a0a", hexadecimal=True) for _ in range(7))).exploded
+        low = {1: (1, 9), 2: (10, 90), 3: (100, 156)} if not more else dict.fromkeys((1, 2, 3), (1, 255))
         return ".".join(str(low[len(p)][0] + s.below(low[len(p)][1])) for p in value.split("."))
     if kind == "ipv6":
         return value[:4] + s.alike(value[4:], hexadecimal=True)
     if kind == "access_key":
-        return value[:4] + s.alike(value[4:])
+        return value[:4] + (s.alike(value[4:]) if not more else "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"[s.below(36)] for _ in value[4:]))
     if kind == "secret":
-        return s.alike(value, hexadecimal=re.fullmatch("[0-9a-f]+|[0-9A-F]+", value) is not None)
+        return s.alike(value + "a0"[len(value) % 2] * more, hexadecimal=re.fullmatch("[0-9a-f]+|[0-9A-F]+", value) is not None)
     if kind == "name":
         gender, _, name = value.partition(":")
         names = NAMES[script_of(name)]
         # no part of a name is kept
         givens, families = ([n for n in names[k] if n not in name.split()] for k in (gender, "family"))
         given, family = givens[s.below(len(givens))], families[s.below(len(families))]
-        initials = [names["family"][s.below(len(names["family"]))][0] + "." for _ in range(max(0, attempt - 3) // 2)]
+        initials = [names["family"][s.below(len(names["family"]))][0] + "." for _ in range(more)]
         out = " ".join([given, *initials, family]) if " " in name else " ".join([*initials, family])
         return f"{gender}:{out}"
-    return s.alike(value)
+    return s.alike(value + "0" * more)
 
 
 def render(kind: str, mention: str, replacement: str, value: str = "", others: frozenset[str] = frozenset()) -> str:
@@ -232,11 +254,11 @@ def render(kind: str, mention: str, replacement: str, value: str = "", others: f
             part = new[0] if short[0] == old[0] != old[1] else new[1]
             return part if not any(part in _words(o[2:]) for o in others if o != replacement) else whole
         return whole
-    if kind == "ipv6":
+    if kind == "ipv6" or kind == "ip" and ":" in replacement:
         return ipaddress.IPv6Address(replacement).compressed
     if kind in ("phone", "card", "ssn", "iban"):
         chars = iter(replacement)
-        return "".join(next(chars) if c.isalnum() or c == "+" else c for c in mention)
+        return "".join(next(chars) if c.isalnum() or c == "+" else c for c in mention) + "".join(chars)
     if kind == "email" and len(replacement) == len(mention):
         return "".join(r.upper() if c.isupper() else r for c, r in zip(mention, replacement))
     return replacement
@@ -251,10 +273,10 @@ def rewrite(text: str, by: dict[tuple[str, str], str]) -> str:
     return "".join([*out, text[at:]])
 
 
-def assign(entities: DataFrame, key: bytes) -> tuple[DataFrame, list[str]]:
-    """(kind, value, surrogate) of distinct (kind, value), all surrogates of a kind distinct and none an entity; the tables' paths."""
+def assign(entities: DataFrame, key: bytes) -> DataFrame:
+    """(kind, value, surrogate) of distinct (kind, value), all surrogates of a kind distinct and none an entity."""
     ship(entities.sparkSession)
-    done, paths, pending, attempt = None, [], entities, 0
+    done, pending, attempt = None, entities, 0
     while True:
         def draw(batches: Iterator[pa.RecordBatch], attempt=attempt) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -266,27 +288,23 @@ def assign(entities: DataFrame, key: bytes) -> tuple[DataFrame, list[str]]:
         won = first.join(entities.select("kind", F.col("value").alias("surrogate")), ["kind", "surrogate"], "left_anti")
         if done is not None:
             won = won.join(done.select("kind", "surrogate"), ["kind", "surrogate"], "left_anti")
-        won, path = materialise(won.select("kind", "value", "surrogate"), "won")
-        paths.append(path)
+        won, _ = materialise(won.select("kind", "value", "surrogate"), "won")
         done = won if done is None else done.unionByName(won)
-        pending, path = materialise(pending.join(won, ["kind", "value"], "left_anti").select("kind", "value"), "pending")
-        paths.append(path)
+        pending, _ = materialise(pending.join(won, ["kind", "value"], "left_anti").select("kind", "value"), "pending")
         attempt += 1
         if pending.isEmpty():
-            return done, paths
-
-
-def _with(rows: DataFrame, more: str) -> T.StructType:
-    return T.StructType([*rows.schema.fields, *T.StructType.fromDDL(more).fields])
+            return done
 
 
 def replace(docs: DataFrame, key: bytes) -> DataFrame:
     """The rows of ``docs`` with every entity replaced, and n_entities (a column of that name is replaced)."""
     spark = docs.sparkSession
     ship(spark)
-    own = [c for c in docs.columns if c != "n_entities"]
-    rows = docs.select(*own).withColumn("text", F.col("text").cast("string"))
+    rows, own = plain_names(docs, "n_entities")
     where = own.index("text")
+    rows = rows.withColumn(f"c{where}", F.col(f"c{where}").cast("string"))
+    names = rows.columns
+    typed = lambda more: T.StructType([*rows.schema.fields, *T.StructType.fromDDL(more).fields])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -296,26 +314,25 @@ def replace(docs: DataFrame, key: bytes) -> DataFrame:
             for at, texts in slices(b.column(where)):
                 found = [sorted({(k, v) for _, _, k, v in detect(t)}) for t in texts]
                 part, n = b.slice(at, len(texts)), len(texts)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(range(number, number + n), pa.int64()), pa.array([[{"kind": k, "value": v} for k, v in f] for f in found], pa.list_(pa.struct([("kind", pa.string()), ("value", pa.string())])))], [*own, "row_", "found_"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(range(number, number + n), pa.int64()), pa.array([[{"kind": k, "value": v} for k, v in f] for f in found], pa.list_(pa.struct([("kind", pa.string()), ("value", pa.string())])))], [*names, "row", "found"])
                 number += n
 
-    scanned, _ = materialise(rows.mapInArrow(scan, _with(rows, "row_ long, found_ array<struct<kind:string,value:string>>")), "scanned")
-    mentions = scanned.where("size(found_) > 0").select("row_", F.explode("found_").alias("e")).select("row_", "e.kind", "e.value")
+    scanned, _ = materialise(rows.mapInArrow(scan, typed("row long, found array<struct<kind:string,value:string>>")), "scanned")
+    mentions = scanned.where("size(found) > 0").select("row", F.explode("found").alias("e")).select("row", "e.kind", "e.value")
     entities, _ = materialise(mentions.select("kind", "value").distinct(), "entities")
-    by, _ = assign(entities, key)
-    given = mentions.join(by, ["kind", "value"]).groupBy("row_").agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias("given_"))
-    dirty = scanned.where("size(found_) > 0").join(given, "row_").select(*own, "given_")
+    given = mentions.join(assign(entities, key), ["kind", "value"]).groupBy("row").agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias("given"))
+    dirty = scanned.where("size(found) > 0").join(given, "row").select(*names, "given")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(where).to_pylist()
-            by_row = [{(g["kind"], g["value"]): g["surrogate"] for g in gs} for gs in b.column(len(own)).to_pylist()]
-            columns = [pa.array([rewrite(t, g) for t, g in zip(texts, by_row)], pa.string()) if i == where else c for i, c in enumerate(b.columns[: len(own)])]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([len(g) for g in by_row], pa.int64())], [*own, "n_entities"])
+            by_row = [{(g["kind"], g["value"]): g["surrogate"] for g in gs} for gs in b.column(len(names)).to_pylist()]
+            columns = [pa.array([rewrite(t, g) for t, g in zip(texts, by_row)], pa.string()) if i == where else c for i, c in enumerate(b.columns[: len(names)])]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([len(g) for g in by_row], pa.int64())], [*names, "n"])
 
-    changed = dirty.mapInArrow(apply, _with(rows, "n_entities long"))
+    changed = dirty.mapInArrow(apply, typed("n long"))
     if "n_chars" in own:
-        kind = rows.schema["n_chars"].dataType
-        changed = changed.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast(kind)))
-    same = scanned.where("size(found_) = 0").select(*own).withColumn("n_entities", F.lit(0).cast("long"))
-    return same.unionByName(changed)
+        c = f"c{own.index('n_chars')}"
+        changed = changed.withColumn(c, F.when(F.col(c).isNotNull(), F.length(f"c{where}").cast(rows.schema[c].dataType)))
+    same = scanned.where("size(found) = 0").select(*names, F.lit(0).cast("long").alias("n"))
+    return same.unionByName(changed).toDF(*own, "n_entities")

@@ -17,14 +17,15 @@ from fundlake.llm import byte_bpe, components, id_store, language, mixing, near_
 from fundlake.llm.queries import QUERIES
 
 WORDS, RANKS = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, kept string, label int, n long, rank int"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, kept string, label int, n long, rank int, row_ int, row int, found_ int, found int, given int, leaf int, leaf_ int, whole int, cut int, times int, times_ int, domain int, epoch int, n_entities int, `a.b` int"
+EXTRA = SCHEMA.count(",") + 1 - 10
 
 
 def odd(spark):
     """Nulls, empty and long texts, repeated rows, columns whose names clash."""
     long = " ".join(f"w{i % 977} and" for i in range(30_000))
     rows = [(1, None), (2, ""), (3, "a b c d e f g"), (3, "a b c d e f g"), (None, "a b c d e f g"), (4, long), (5, long), (6, " \n\t "), (7, "one two"), (8, "ONE two"), (9, "💥 é ß漢字 <|endoftext|> 12"), (10, "mail me: ann.b@site.org or 4111 1111 1111 1111")]
-    return spark.createDataFrame([(i, t, None if i == 3 else "en", None if i == 4 else f"src{i}", None, 1.0, "x", 1, 1, 1) for i, t in rows], SCHEMA)
+    return spark.createDataFrame([(i, t, None if i == 3 else "en", None if i == 4 else f"src{i}", None, 1.0, "x", 1, 1, 1, *range(EXTRA)) for i, t in rows], SCHEMA)
 
 
 def empty(spark):
@@ -326,7 +327,9 @@ def test_op5(spark, sf, percent, epochs):
 
 def test_op5_odd_rows(spark):
     assert mixing.mix(empty(spark)).count() == 0
-    assert set(odd(spark).columns) < set(mixing.mix(odd(spark)).columns)
+    got = mixing.mix(odd(spark), percent=300)
+    assert sorted(got.columns) == sorted({*odd(spark).columns, "epoch", "domain", "n_tokens"})
+    assert {(r["leaf"], r["a.b"]) for r in got.collect()} == {(r["leaf"], r["a.b"]) for r in odd(spark).collect()}
 
 
 # ---------------------------------------------------------------- 8: surrogates
@@ -377,6 +380,33 @@ def test_op8_mentions_of_one_person_share_a_surrogate(spark):
     assert len({v for _, _, k, v in surrogates.detect(got[5].text) if k == "ipv6"}) == 1
 
 
+def test_op8_one_person_and_check_digits(spark):
+    rows = [
+        (1, "Mr. John Smith met Mr. Smith. John Smith left."),
+        (2, "order 1234567890123 and part AB12 CDEF GHIJ KLMN"),
+        (3, "paid by 4111 1111 1111 1111 to DE89 3704 0044 0532 0130 00, not 4111 1111 1111 1112 or DE88 3704 0044 0532 0130 00"),
+    ]
+    got = {r.doc_id: r for r in surrogates.replace(spark.createDataFrame(rows, "doc_id long, text string"), b"k").collect()}
+    (a, b), = {tuple(v[2:].split()) for _, _, _, v in surrogates.detect(got[1].text)}
+    assert got[1].text == f"Mr. {a} {b} met Mr. {b}. {a} {b} left." and got[1].n_entities == 1 and "Smith" not in got[1].text
+    assert got[2].text == rows[1][1]
+    assert got[3].n_entities == 2 and got[3].text.endswith("not 4111 1111 1111 1112 or DE88 3704 0044 0532 0130 00")
+    assert len(surrogates.detect(got[3].text)) == 2 and "4111 1111 1111 1111" not in got[3].text
+
+
+def test_op8_ends_where_a_shape_is_full(spark):
+    """Every two-letter address, every address of one-digit parts and a thousand short secrets: no draw of the same shape is free."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = [f"{a}@{b}.org" for a in letters for b in letters]
+    hosts = [f"{a}.{b}.{c}.{d}" for a in range(1, 10) for b in range(1, 10) for c in range(1, 10) for d in range(1, 10)]
+    words = [*mails, *hosts, *(f"password=9000{i:04d}" for i in range(1000))]
+    rows = [(i, " and ".join(words[i * 50 : i * 50 + 50])) for i in range(-(-len(words) // 50))]
+    got = {r.doc_id: r.text for r in surrogates.replace(spark.createDataFrame(rows, "doc_id long, text string"), b"k").collect()}
+    new = [x for i in sorted(got) for x in got[i].split(" and ")]
+    assert len(new) == len(set(new)) == len(words) and not set(new) & set(words)
+    assert all(x.endswith(".org") for x in new[: len(mails)])
+
+
 def test_op8(spark, sf):
     old = texts(spark, sf)
     private = {(k, v) for t in old.values() for _, _, k, v in surrogates.detect(t)}
@@ -384,6 +414,9 @@ def test_op8(spark, sf):
         assert not {(k, v) for _, _, k, v in surrogates.detect(r.text)} & private
         assert (r.text == old[r.doc_id]) == (r.n_entities == 0)
     assert surrogates.replace(empty(spark), b"k").count() == 0 and surrogates.replace(odd(spark), b"k").count() == 12
+    got = surrogates.replace(odd(spark), b"k")
+    assert got.columns == [*(c for c in odd(spark).columns if c != "n_entities"), "n_entities"]
+    assert {(r["row"], r["found"], r["given"]) for r in got.collect()} == {(r["row"], r["found"], r["given"]) for r in odd(spark).collect()}
 
 
 # ---------------------------------------------------------------- 9: near-duplicates
