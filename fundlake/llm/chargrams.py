@@ -38,6 +38,27 @@ def codes(texts: list[str], longest: int) -> tuple[np.ndarray, np.ndarray]:
     return folding()[raw], np.cumsum(lens) - lens
 
 
+def segments(texts: list[str], longest: int, span: int = 1_500_000):
+    """Lists of (number of the text, piece, positions that count) with about ``span`` characters.
+
+    A longer text is cut: each piece but the last also holds the characters that its last n-grams reach
+    into, so that the n-grams of all pieces are those of the text, in bounded memory.  What counts of a
+    text are its characters and one space: n-grams from there on would reach into the next text.
+    """
+    run, size = [], 0
+    for i, t in enumerate(texts):
+        for at in range(0, max(len(t), 1), span):
+            last = at + span >= len(t)
+            piece = t[at : at + span + (0 if last else longest - 1)]
+            run.append((i, piece, len(piece) + 1 if last else span))
+            size += len(piece)
+            if size >= span:
+                yield run
+                run, size = [], 0
+    if run:
+        yield run
+
+
 def grams(c: np.ndarray, orders: tuple[int, ...], bits: int):
     """For each order in turn the bucket of the n-gram that starts at each position.
 

@@ -9,7 +9,9 @@ is one narrow pass without shuffle; what travels to the executors is the weight
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; null langs teach
 nothing; a table without labels gives ``und`` with score 0 for every row; with a single language
-every text with a letter gets it with score 1; null doc_ids are kept; other columns are ignored.
+every text with a letter gets it with score 1; null doc_ids are kept; rows that repeat are told alike, and count once in
+the sample; ties go to the first language in order; an empty table gives no rows; a text of any length is told
+1.5 million characters at a time, with the characters that n-grams reach over; other columns are kept.
 """
 
 from __future__ import annotations
@@ -21,13 +23,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fundlake.llm import chargrams
-from fundlake.llm.common import held_out, ship, slices
+from fundlake.llm.common import held_out, plain_names, ship, slices
 from fundlake.llm.sampling import by_hash
 
 ORDERS, BITS, SCALE = (1, 2, 3), 16, 20.0
 SLICE = 1_500_000
+#: Share of the rows kept back that ``Model.least`` may lie above (before it is lowered by a tenth).
+LEAST_QUANTILE = 0.002
 
 
 @dataclass
@@ -36,6 +41,7 @@ class Model:
     weights: np.ndarray  # (2 ** BITS, languages), inverse document frequency included
     bias: np.ndarray
     temperature: float
+    least: float = 0.0  # the calibrated score under which hardly a row of a known language falls
 
 
 def _ftrl(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, k: int, epochs: int, alpha: float, beta: float, l1: float, l2: float) -> tuple[np.ndarray, np.ndarray]:
@@ -90,10 +96,12 @@ def count_grams(docs: DataFrame) -> DataFrame:
                 rows = []
                 for t, lang in zip(texts, b.column(0).slice(at, len(texts)).to_pylist()):
                     if chargrams.has_letter(t):
-                        c, _ = chargrams.codes([t], max(ORDERS))
-                        n = sum(np.bincount(g, minlength=1 << BITS) for _, g in chargrams.grams(c, ORDERS, BITS))
+                        n = np.zeros(1 << BITS, np.int64)
+                        for ((_, piece, k),) in chargrams.segments([t], max(ORDERS), SLICE):
+                            c, _ = chargrams.codes([piece], max(ORDERS))
+                            n += sum(np.bincount(g[:k], minlength=1 << BITS) for _, g in chargrams.grams(c, ORDERS, BITS))
                         at_ = np.flatnonzero(n)
-                        rows.append({"lang": lang, "at": at_.astype("<i4").tobytes(), "n": n[at_].astype("<f4").tobytes(), "total": len(c)})
+                        rows.append({"lang": lang, "at": at_.astype("<i4").tobytes(), "n": n[at_].astype("<f4").tobytes(), "total": len(t) + 1})
                 yield pa.RecordBatch.from_pylist(rows, pa.schema([("lang", pa.string()), ("at", pa.binary()), ("n", pa.binary()), ("total", pa.int64())]))
 
     return docs.mapInArrow(run, "lang string, at binary, n binary, total long")
@@ -118,17 +126,25 @@ def train(docs: DataFrame, most: int = 3000, epochs: int = 4, alpha: float = 0.3
     back = np.random.default_rng(11).random(len(rows)) < 0.2
     w, b = _ftrl([r for r, x in zip(rows, back) if not x], y[~back], len(langs), epochs, alpha, beta, l1, l2)
     scores = np.array([x @ w[at] + b for (at, x), z in zip(rows, back) if z]).reshape(-1, len(langs))
-    return Model(langs, (w * idf[:, None]).astype(np.float32), b.astype(np.float32), _temperature(scores, y[back]))
+    t = _temperature(scores, y[back])
+    sure = 1 / np.exp(scores / t - (scores / t).max(axis=1, keepdims=True)).sum(axis=1)
+    least = max(1 / len(langs), 0.9 * float(np.quantile(sure, LEAST_QUANTILE))) if len(sure) else 0.0
+    return Model(langs, (w * idf[:, None]).astype(np.float32), b.astype(np.float32), t, least)
 
 
-def score_texts(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
+def score_texts(texts: list[str], model: Model, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Index of each text's most likely language, and its calibrated probability."""
-    c, starts = chargrams.codes(texts, max(ORDERS))
-    total = np.zeros((len(c), len(model.langs)), np.float32)
-    for _, g in chargrams.grams(c, ORDERS, BITS):
-        total += model.weights[g]
-    lens = np.diff(np.append(starts, len(c)))
-    s = (np.add.reduceat(total, starts, axis=0, dtype=np.float64) / lens[:, None] + model.bias) / model.temperature
+    weights = model.weights if weights is None else weights
+    summed, lens = np.zeros((len(texts), len(model.langs))), np.array([len(t) + 1 for t in texts])
+    for run in chargrams.segments(texts, max(ORDERS), SLICE):
+        c, starts = chargrams.codes([piece for _, piece, _ in run], max(ORDERS))
+        total = np.zeros((len(c), len(model.langs)), np.float32)
+        for _, g in chargrams.grams(c, ORDERS, BITS):
+            total += weights[g]
+        for (_, _, k), at, end in zip(run, starts, np.append(starts[1:], len(c))):
+            total[at + k : end] = 0  # n-grams that the next piece counts, or that reach into the next text
+        np.add.at(summed, [i for i, _, _ in run], np.add.reduceat(total, starts, axis=0, dtype=np.float64))
+    s = (summed / lens[:, None] + model.bias) / model.temperature
     p = np.exp(s - s.max(axis=1, keepdims=True))
     p /= p.sum(axis=1, keepdims=True)
     return p.argmax(axis=1), p.max(axis=1)
@@ -137,21 +153,22 @@ def score_texts(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """The columns of ``docs`` with lang_pred and score; columns of those names are replaced."""
     ship(docs.sparkSession)
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double")
-    where = kept.index("text")
+    rows, own = plain_names(docs, "lang_pred", "score")
+    kept, where = rows.columns, own.index("text")
+    schema = T.StructType([*rows.schema.fields]).add("lang_pred", "string").add("score", "double")
+    light = Model(model.langs, np.zeros(0), model.bias, model.temperature, model.least)
+    table = docs.sparkSession.sparkContext.broadcast(model.weights)  # 256 KB for each language, whatever the corpus
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at, texts in slices(b.column(where).cast(pa.string()), SLICE):
                 lang, score = ["und"] * len(texts), np.zeros(len(texts))
-                which = [i for i, t in enumerate(texts) if chargrams.has_letter(t)] if model.langs else []
+                which = [i for i, t in enumerate(texts) if chargrams.has_letter(t)] if light.langs else []
                 if which:
-                    best, p = score_texts([texts[i] for i in which], model)
+                    best, p = score_texts([texts[i] for i in which], light, table.value)
                     score[which] = p
                     for i, k in zip(which, best):
-                        lang[i] = model.langs[k]
-                rows = b.slice(at, len(texts))
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(lang, pa.string()), pa.array(score)], [*kept, "lang_pred", "score"])
+                        lang[i] = light.langs[k]
+                yield pa.RecordBatch.from_arrays([*b.slice(at, len(texts)).columns, pa.array(lang, pa.string()), pa.array(score)], [*kept, "lang_pred", "score"])
 
-    return docs.select(*kept).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).toDF(*own, "lang_pred", "score")

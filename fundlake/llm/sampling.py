@@ -7,10 +7,17 @@ from pyspark.sql import functions as F
 
 
 def by_hash(rows: DataFrame, most: int, key: str = "doc_id") -> DataFrame:
-    """The rows with the ``most`` smallest key hashes: the keys are ranked first, then only their rows are read."""
-    h = F.xxhash64(key)
+    """At most ``most`` distinct rows: those with the smallest hashes of the key, of equal keys by a hash of the whole row.
+
+    Keys are ranked first; no row leaves its task until it is known to be in the sample.
+    """
+    h, whole = F.xxhash64(key), F.xxhash64(*rows.columns)
     cut = rows.select(h.alias("h")).orderBy("h").limit(most).agg(F.max("h")).first()[0]
-    return rows.where(h <= F.lit(cut)).limit(most) if cut is not None else rows.limit(0)
+    if cut is None:
+        return rows.limit(0)
+    near = rows.where(h <= F.lit(cut))
+    last = near.select(h.alias("h"), whole.alias("w")).orderBy("h", "w").limit(most).agg(F.max(F.struct("h", "w")).alias("x")).select("x.*").first()
+    return near.where((h < F.lit(last.h)) | ((h == F.lit(last.h)) & (whole <= F.lit(last.w)))).dropDuplicates()
 
 
 def labelled(labels: DataFrame, column: str, where, most: int) -> DataFrame:

@@ -5,7 +5,8 @@ and ends), trained with numpy on confirmed toxic texts and unlabelled text.  Wit
 risk is ``p E_P[l(f)] + max(0, E_U[l(-f)] - p E_P[l(-f)])``: what the toxic texts among the unlabelled
 add to the negative risk is taken off, and a negative estimate is walked back up instead of down.
 
-The prior is the share of label 1 among all labelled rows that may be learnt from.  At most ``most``
+The prior is the share of label 1 among all labelled rows that may be learnt from: labels are taken to be given to
+documents regardless of what they say (a test holds it against the share found in all documents).  At most ``most``
 positive and ``2 * most`` unlabelled rows (smallest hashes of doc_id) are used; their n-gram counts
 are summed on the executors and only n-grams that tell the two sets apart reach the driver: those whose
 share among positives is higher by ``LEAST_Z`` standard errors and which, by the prior, are toxic in
@@ -13,7 +14,9 @@ share among positives is higher by ``LEAST_Z`` standard errors and which, by the
 
 Defined cases: a null or empty text is scored like any other (no n-gram present); null doc_ids are
 kept; null labels teach nothing, of repeated labels the largest counts; without a confirmed toxic row
-every score is the prior (0 where nothing is labelled); other columns are ignored.
+every score is the prior (0 where nothing is labelled); rows that repeat score alike, and texts that repeat count once
+in the sample; a score of exactly 0.5 is predicted 1; an empty table gives no rows; a text of any length is read
+1.5 million characters at a time, with the characters that n-grams reach over; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundlake.llm import chargrams
-from fundlake.llm.common import held_out, ship, slices
+from fundlake.llm.common import discard, held_out, materialise, ship, slices
 from fundlake.llm.sampling import by_hash, labelled, with_texts
 
 ORDERS, BITS = (4, 5, 6), 20
@@ -44,17 +47,24 @@ class Model:
 
 def present(texts: list[str], chosen: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """(text, bucket) pairs without repeats; with ``chosen`` (feature number or -1 by bucket) only of those."""
-    c, starts = chargrams.codes(texts, max(ORDERS))
-    doc = np.repeat(np.arange(len(texts)), np.diff(np.append(starts, len(c))))
-    found = []
-    for _, g in chargrams.grams(c, ORDERS, BITS):
-        if chosen is None:
-            found.append(doc << BITS | g.astype(np.int64))
-        else:
-            f = chosen[g]
-            at = np.flatnonzero(f >= 0)
-            found.append(doc[at] << BITS | f[at])
-    pairs = np.unique(np.concatenate(found))
+    pairs = [np.zeros(0, np.int64)]
+    for run in chargrams.segments(texts, max(ORDERS), SLICE):
+        c, starts = chargrams.codes([piece for _, piece, _ in run], max(ORDERS))
+        ends = np.append(starts[1:], len(c))
+        doc = np.repeat(np.array([i for i, _, _ in run], np.int64), ends - starts)
+        for (_, _, k), at, end in zip(run, starts, ends):
+            doc[at + k : end] = len(texts)  # n-grams that the next piece counts, or that reach into the next text
+        found = []
+        for _, g in chargrams.grams(c, ORDERS, BITS):
+            if chosen is None:
+                found.append(doc << BITS | g.astype(np.int64))
+            else:
+                f = chosen[g]
+                at = np.flatnonzero(f >= 0)
+                found.append(doc[at] << BITS | f[at])
+        pairs.append(np.unique(np.concatenate(found)))
+    pairs = np.unique(np.concatenate(pairs)) if len(pairs) > 2 else pairs[-1]
+    pairs = pairs[: np.searchsorted(pairs, len(texts) << BITS)]
     return pairs >> BITS, pairs & ((1 << BITS) - 1)
 
 
@@ -119,9 +129,10 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 3000) -> Model:
     positive = labelled(labels, "toxic", free & (F.col("toxic") == 1), most)
     unlabelled = by_hash(docs.select("doc_id").where(F.col("doc_id").isNotNull() & free), 2 * most).distinct().withColumn("label", F.lit(0))
     # copies of one text would make all its n-grams look telling
-    sample = with_texts(docs, positive).unionByName(with_texts(docs, unlabelled)).select("label", "text").dropDuplicates()
+    sample, made = materialise(with_texts(docs, positive).unionByName(with_texts(docs, unlabelled)).select("label", "text").dropDuplicates(), "sample")
     ids = select(sample, prior) if prior else np.zeros(0, np.int64)
     if not len(ids):
+        discard(docs.sparkSession, made)
         return Model(ids, np.zeros(0, np.float32), float(np.log(prior / (1 - prior))) if prior and prior < 1 else -35.0)
     chosen = np.full(1 << BITS, -1, np.int32)
     chosen[ids] = np.arange(len(ids))
@@ -134,6 +145,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 3000) -> Model:
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(texts)), pa.array([x.tobytes() for x in np.split(f.astype(np.int32), cuts)], pa.binary())], ["label", "f"])
 
     rows = sorted((r.label, bytes(r.f)) for r in sample.mapInArrow(run, "label int, f binary").collect())
+    discard(docs.sparkSession, made)
     x = [[np.frombuffer(f, np.int32) for label, f in rows if label == k] for k in (0, 1)]
     if not x[1]:
         return Model(ids[:0], np.zeros(0, np.float32), float(np.log(prior / (1 - prior))) if prior < 1 else -35.0)
