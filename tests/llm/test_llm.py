@@ -581,6 +581,23 @@ def test_pipeline_stages(spark, sf, tmp_path):
 
 
 def test_pipeline_odd_rows(spark, tmp_path):
-    for name, df in (("odd", odd(spark).select("doc_id", "text", "lang", "source", "n_chars")), ("empty", empty(spark).select("doc_id", "text", "lang", "source", "n_chars"))):
-        df.write.parquet(f"{tmp_path}/{name}/documents.parquet")
-        corpus_pipeline.run(spark, f"{tmp_path}/{name}").count()
+    df = odd(spark)
+    df.write.parquet(f"{tmp_path}/odd/documents.parquet")
+    got = corpus_pipeline.run(spark, f"{tmp_path}/odd")
+    # nulls, empty and blank texts go with the language, copies (7 and 8, 4 and 5) with near-duplicates; odd columns do no harm
+    assert {r.doc_id for r in got.collect()} <= {3, None, 4, 7, 9, 10} and got.count()
+    empty(spark).write.parquet(f"{tmp_path}/empty/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
+
+
+def test_pipeline_rows_are_its_last_stages(spark, sf, tik):
+    """What run() gives: the mixture's rows, each with the digest of its own text, and no table of a stage left behind."""
+    from fundlake.llm import common
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        docs, _ = common.materialise(stage(spark, docs, sf), f"stage{k}")
+    want = collections.Counter((r.doc_id, hashlib.sha256(r.text.encode()).hexdigest(), len(tik.encode_ordinary(r.text))) for r in docs.collect())
+    got = corpus_pipeline.run(spark, sf)
+    assert collections.Counter((r.doc_id, r.decoded_sha256, r.n_tokens) for r in got.collect()) == want
+    assert not common._made
