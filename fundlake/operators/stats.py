@@ -1,9 +1,10 @@
 """Risk and return statistics of a whole panel in one shuffle.
 
-A panel is one row for each fund and day with the logarithm of its adjusted close.  Every window is
-anchored on the fund's own last bar; the anchors are unordered windows over the fund, the returns
-and running peaks ordered ones, and everything ends in one aggregate: all share the partitioning by
-isin, so Catalyst plans a single exchange.
+A panel is one row for each fund and day with the logarithm of its adjusted close.  ``clean`` deals bars
+by isin and sorts them by isin and date, once; the choice among repeated days, the anchors of
+the windows (on the fund's own last bar), returns, running peaks, month ends and the match with the
+benchmark all keep that partitioning and order, and everything ends in one hash aggregate.  A
+benchmark made from the panel itself costs a second pass, its own aggregate.
 """
 
 from __future__ import annotations
@@ -13,8 +14,6 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundlake.operators.rows import keep_last
-
 #: Fixed values.
 RISK_FREE, TRADING_DAYS, MIN_VOLATILITY, MIN_HISTORY, MIN_SHARED, MIN_CAGR_YEARS = 0.025, 252, 1e-5, 30, 250, 1.0
 ANNUAL = math.sqrt(TRADING_DAYS)
@@ -44,7 +43,9 @@ def clean(bars: DataFrame, as_of=None, order: list[str] | None = None) -> DataFr
     currency = F.col("currency") if "currency" in bars.columns else F.lit(None).cast("string")
     extra = [c for c in order if c not in ("adj_close", "close")]
     rows = bars.where(fine).select("isin", "date", F.col("close").cast("double").alias("close"), adj.alias("adj_close"), currency.alias("currency"), *extra)
-    return keep_last(rows, ["isin", "date"], order).drop(*extra).withColumn("logp", F.log("adj_close"))
+    after = F.lead("date").over(_fund().orderBy("date", *order))
+    last = rows.repartition("isin").withColumn("after_", after).where("after_ IS NULL OR after_ <> date")
+    return last.drop("after_", *extra).withColumn("logp", F.log("adj_close"))
 
 
 def targets(terminal: Column) -> dict[str, Column]:
@@ -57,29 +58,41 @@ def targets(terminal: Column) -> dict[str, Column]:
 def performance(panel: DataFrame, benchmark: DataFrame | None = None, funds: DataFrame | None = None, min_shared: int = MIN_SHARED) -> DataFrame:
     """One row for each fund of ``panel`` (see ``clean``), and for each isin of ``funds`` without a usable bar (nulls).
 
-    ``benchmark``: (date, logp), one row for each day.
+    ``benchmark``: (date, logp); of several rows for a day the mean.
     """
-    rows = panel.withColumn("terminal", F.max("date").over(_fund()))
-    for w in RISK_WINDOWS:
-        rows = rows.withColumn(f"from_{w}", F.max(F.when(F.col("date") <= F.add_months("terminal", -MONTHS[w]), F.col("date"))).over(_fund()))
-    rows = rows.withColumn("r", F.col("logp") - F.lag("logp").over(_time()))
-    run = _time().rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("dd_max", F.col("logp") - F.max("logp").over(run))
-    for w in RISK_WINDOWS:
-        inside = F.col("date") >= F.col(f"from_{w}")
-        rows = rows.withColumn(f"dd_{w}", F.when(inside, F.col("logp") - F.max(F.when(inside, F.col("logp"))).over(run)))
+    rows = panel
+    if benchmark is not None:
+        world = benchmark.groupBy("date").agg(F.avg("logp").alias("world"))  # one row for each day, whatever was given
+        rows = rows.join(world, "date", "left")
+    rows = rows.withColumns({"terminal": F.max("date").over(_fund()), "top": F.max("logp").over(_fund()), "base_currency": F.max_by("currency", F.when(F.col("currency").isNotNull(), F.col("date"))).over(_fund())})
+    rows = rows.withColumns({f"from_{w}": F.max(F.when(F.col("date") <= F.add_months("terminal", -MONTHS[w]), F.col("date"))).over(_fund()) for w in RISK_WINDOWS})
+    run, before = _time().rowsBetween(Window.unboundedPreceding, 0), _time().rowsBetween(Window.unboundedPreceding, -1)
+    since = {w: F.col("date") >= F.col(f"from_{w}") for w in RISK_WINDOWS}
+    rows = rows.withColumns({"r": F.col("logp") - F.lag("logp").over(_time()), "next_": F.lead("date").over(_time()), "peak": F.max("logp").over(run)} | {f"peak_{w}": F.max(F.when(since[w], F.col("logp"))).over(run) for w in RISK_WINDOWS})
+    month_end = F.col("next_").isNull() | (F.trunc("next_", "month") != F.trunc("date", "month"))
+    told = {"last_month": F.last(F.when(month_end, F.col("logp")), ignorenulls=True).over(before)}
+    if benchmark is not None:
+        shared = F.coalesce(since["3y"] & F.col("world").isNotNull(), F.lit(False))
+        told |= {"y_before": F.last(F.when(shared, F.col("logp")), ignorenulls=True).over(before), "x_before": F.last(F.when(shared, F.col("world")), ignorenulls=True).over(before)}
+    rows = rows.withColumns(told)
 
     at_end = lambda c: F.max_by(c, "date")
-    aggs = [F.count("*").cast("int").alias("history_days"), F.min("date").alias("history_start"), F.max("date").alias("price_date"), F.min_by("logp", "date").alias("l_first"), at_end("logp").alias("l_last"), at_end("close").alias("close_last"), at_end("adj_close").alias("adj_last"), F.max_by("currency", F.when(F.col("currency").isNotNull(), F.col("date"))).alias("base_currency")]
+    aggs = [F.count("*").cast("int").alias("history_days"), F.min("date").alias("history_start"), F.max("date").alias("price_date"), F.min_by("logp", "date").alias("l_first"), at_end("logp").alias("l_last"), at_end("close").alias("close_last"), at_end("adj_close").alias("adj_last")]
     for w, day in targets(F.col("terminal")).items():
         ok = F.col("date") <= day
         aggs.append(F.max_by(F.when(ok, F.col("logp")), F.when(ok, F.col("date"))).alias(f"l_{w}"))
     for w in RISK_WINDOWS:
         inside = F.col("date") > F.col(f"from_{w}")
         short = F.least(F.col("r") - DAILY_FREE, F.lit(0.0))
-        aggs += [F.stddev_samp(F.when(inside, F.col("r"))).alias(f"s_{w}"), F.avg(F.when(inside, short * short)).alias(f"d_{w}"), F.count(F.when(inside, F.col("r"))).alias(f"n_{w}"), F.min(f"dd_{w}").alias(f"dd_{w}")]
-    aggs += [F.min("dd_max").alias("dd_all"), at_end("dd_max").alias("dd_now"), F.max("adj_close").alias("ath"), F.min_by("date", F.struct(-F.col("logp"), "date")).alias("ath_date")]
-    one = rows.groupBy("isin").agg(*aggs)
+        aggs += [F.stddev_samp(F.when(inside, F.col("r"))).alias(f"s_{w}"), F.avg(F.when(inside, short * short)).alias(f"d_{w}"), F.count(F.when(inside, F.col("r"))).alias(f"n_{w}"), F.min(F.when(since[w], F.col("logp") - F.col(f"peak_{w}"))).alias(f"dd_{w}")]
+    low = F.col("logp") - F.col("peak")
+    aggs += [F.min(low).alias("dd_all"), F.max_by(low, "date").alias("dd_now"), F.max("adj_close").alias("ath"), F.min(F.when(F.col("logp") == F.col("top"), F.col("date"))).alias("ath_date")]
+    month = F.when(month_end & F.col("next_").isNotNull(), F.expm1(F.col("logp") - F.col("last_month")))  # the first and last months are no whole ones
+    aggs += [F.max(month).alias("best_month"), F.min(month).alias("worst_month"), F.avg((month > 0).cast("double")).alias("positive_months_pct")]
+    if benchmark is not None:
+        y, x = F.when(shared, F.col("logp") - F.col("y_before")), F.when(shared, F.col("world") - F.col("x_before"))
+        aggs += [F.count_if(shared).alias("n"), F.covar_samp(x, y).alias("c"), F.var_samp(x).alias("vx"), F.var_samp(y).alias("vy")]
+    one = rows.groupBy("isin", "base_currency").agg(*aggs)
 
     gain = lambda w: F.expm1(F.col("l_last") - F.col(f"l_{w}"))
     years = F.datediff("price_date", "history_start") / 365.25
@@ -94,12 +107,8 @@ def performance(panel: DataFrame, benchmark: DataFrame | None = None, funds: Dat
     down = F.when(F.col("n_3y") >= 2, F.sqrt("d_3y") * ANNUAL)
     out["sortino_3y"] = F.when(down > MIN_VOLATILITY, (yearly["3y"] - RISK_FREE) / down)
     out |= {"max_drawdown_max": F.expm1("dd_all"), "current_drawdown": F.expm1("dd_now"), "price_last": F.coalesce("close_last", "adj_last"), "distance_from_ath": F.expm1("dd_now")}
-    made = one.select("isin", "base_currency", "history_days", "history_start", "price_date", "ath", "ath_date", *(c.alias(k) for k, c in out.items()))
-    made = made.join(monthly_distribution(period_returns(panel, "month")), "isin", "left")
-    if benchmark is not None:
-        made = made.join(beta_and_correlation(panel, benchmark, min_shared), "isin", "left")
-    else:
-        made = made.withColumns({"beta_vs_world": F.lit(None).cast("double"), "correlation_vs_world": F.lit(None).cast("double")})
+    out |= _beta(min_shared) if benchmark is not None else dict.fromkeys(("beta_vs_world", "correlation_vs_world"), F.lit(None).cast("double"))
+    made = one.select("isin", "base_currency", "history_days", "history_start", "price_date", "ath", "ath_date", "best_month", "worst_month", "positive_months_pct", *(c.alias(k) for k, c in out.items()))
     if funds is not None:
         made = funds.select("isin").distinct().join(made, "isin", "left")
     return made
@@ -111,20 +120,25 @@ def thin_gate(performance_: DataFrame, kept: tuple[str, ...] = ("isin", "base_cu
     return performance_.select(*(F.col(c) if c in kept else F.when(enough, F.col(c)).alias(c) for c in performance_.columns))
 
 
+def _beta(min_shared: int) -> dict[str, Column]:
+    """Beta and correlation from n, c, vx and vy."""
+    enough = (F.col("n") > min_shared) & (F.col("vx") > 0)
+    moves = F.sqrt("vy") * ANNUAL > MIN_VOLATILITY
+    return {"beta_vs_world": F.when(enough, F.col("c") / F.col("vx")), "correlation_vs_world": F.when(enough & moves, F.col("c") / F.sqrt(F.col("vx") * F.col("vy")))}
+
+
 def beta_and_correlation(panel: DataFrame, benchmark: DataFrame, min_shared: int = MIN_SHARED) -> DataFrame:
-    """isin, beta_vs_world, correlation_vs_world over the 3-year window.
+    """isin, beta_vs_world, correlation_vs_world over the 3-year window, of funds with a shared day in it.
 
-    Both series are cut to shared days before returns are taken.  The benchmark has one row for
-    each day, a bound of its own, so it is broadcast.
+    Both series are cut to shared days before returns are taken.  The benchmark has one row for each day;
+    whether it is broadcast is left to its measured size.
     """
     anchored = panel.select("isin", "date", "logp").withColumn("terminal", F.max("date").over(_fund()))
     anchored = anchored.withColumn("start", F.max(F.when(F.col("date") <= F.add_months("terminal", -36), F.col("date"))).over(_fund())).where("date >= start")
-    shared = anchored.join(F.broadcast(benchmark.select("date", F.col("logp").alias("world"))), "date")
+    shared = anchored.join(benchmark.groupBy("date").agg(F.avg("logp").alias("world")), "date")
     rows = shared.withColumn("y", F.col("logp") - F.lag("logp").over(_time())).withColumn("x", F.col("world") - F.lag("world").over(_time()))
     m = rows.groupBy("isin").agg(F.count("*").alias("n"), F.covar_samp("x", "y").alias("c"), F.var_samp("x").alias("vx"), F.var_samp("y").alias("vy"))
-    enough = F.col("n") > min_shared
-    moves = F.sqrt("vy") * ANNUAL > MIN_VOLATILITY
-    return m.select("isin", F.when(enough & (F.col("vx") > 0), F.col("c") / F.col("vx")).alias("beta_vs_world"), F.when(enough & (F.col("vx") > 0) & moves, F.col("c") / F.sqrt(F.col("vx") * F.col("vy"))).alias("correlation_vs_world"))
+    return m.select("isin", *(c.alias(k) for k, c in _beta(min_shared).items()))
 
 
 def period_returns(panel: DataFrame, period: str) -> DataFrame:

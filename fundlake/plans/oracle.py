@@ -160,10 +160,15 @@ ORACLE["clean_name"] = "SELECT p_partkey, p_name || CASE p_partkey % 6 WHEN 0 TH
 ORACLE["category_map"] = "WITH c AS (SELECT p_partkey, CASE p_partkey % 7 WHEN 0 THEN 'US Large Blend' WHEN 1 THEN 'Equity Precious Metals' WHEN 2 THEN 'Leveraged Commodities' WHEN 3 THEN 'High Yield Bond' WHEN 4 THEN '' WHEN 5 THEN 'Japan Stock' ELSE 'zzz' END AS category FROM part) SELECT p_partkey, category, CASE category WHEN 'US Large Blend' THEN 'equity' WHEN 'Equity Precious Metals' THEN 'equity' WHEN 'Leveraged Commodities' THEN 'commodity' WHEN 'High Yield Bond' THEN 'bond' WHEN 'Japan Stock' THEN 'equity' WHEN 'zzz' THEN 'unknown' END AS asset_class, CASE category WHEN 'US Large Blend' THEN 'broad-market' WHEN 'Equity Precious Metals' THEN 'sector' WHEN 'Leveraged Commodities' THEN 'leveraged' WHEN 'High Yield Bond' THEN 'unknown' WHEN 'Japan Stock' THEN 'country' WHEN 'zzz' THEN 'unknown' END AS strategy FROM c"
 ORACLE["orphan_anti"] = f"WITH {LISTINGS} SELECT isin, exchange_mic FROM listings WHERE isin NOT IN (SELECT CAST(p_partkey AS VARCHAR) FROM part WHERE p_size > 10)"
 ORACLE["tradable_semi"] = f"WITH {LISTINGS} SELECT CAST(p_partkey AS VARCHAR) AS isin, p_brand FROM part WHERE CAST(p_partkey AS VARCHAR) IN (SELECT isin FROM listings WHERE ticker IS NOT NULL)"
-ORACLE["claim_uniqueness"] = "WITH c AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS ticker, CAST(o_orderkey AS VARCHAR) AS isin FROM orders WHERE o_orderpriority = '1-URGENT') SELECT ticker, isin FROM (SELECT ticker, isin, count(*) OVER (PARTITION BY ticker) AS a, count(*) OVER (PARTITION BY isin) AS b FROM c) WHERE a = 1 AND b = 1"
+ORACLE["claim_uniqueness"] = "WITH c AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS ticker, CAST(o_orderkey AS VARCHAR) AS isin FROM orders) SELECT ticker, isin FROM (SELECT ticker, isin, count(*) OVER (PARTITION BY ticker) AS a, count(*) OVER (PARTITION BY isin) AS b FROM c) WHERE a = 1 AND b = 1"
 _UPSERT = f"WITH {BARS} SELECT isin, date, round(CASE WHEN date >= DATE '1999-01-05' THEN close * 2 ELSE close END, 8) AS close, currency FROM bars"
 ORACLE["price_upsert"] = ORACLE["stream_refresh"] = _UPSERT
 ORACLE["store_manifest"] = f"WITH {BARS}, s AS (SELECT isin, min(date) AS first_date, max(date) AS last_date, count(*) AS bars FROM bars GROUP BY isin) SELECT s.*, b.currency, CASE WHEN s.isin = '1' THEN 'NEW' ELSE s_name END AS ticker FROM s JOIN bars b ON b.isin = s.isin AND b.date = s.last_date LEFT JOIN supplier ON CAST(s_suppkey AS VARCHAR) = s.isin"
 ORACLE["refresh_requests"] = f"WITH {BARS}, m AS (SELECT isin, max(date) AS d FROM bars WHERE date < DATE '1999-01-10' AND isin <> '3' GROUP BY isin) SELECT 'S' || CAST(s_suppkey % 40 AS VARCHAR) AS symbol, min(CASE WHEN d IS NULL THEN DATE '1990-01-01' ELSE CAST(d - INTERVAL 5 DAY AS DATE) END) AS start FROM supplier LEFT JOIN m ON m.isin = CAST(s_suppkey AS VARCHAR) GROUP BY 1"
 ORACLE["new_splits_anti"] = f"WITH {BARS} SELECT DISTINCT isin FROM raw WHERE l_linestatus = 'O' AND l_quantity = 1 AND date >= DATE '1999-01-01'"
 ORACLE["replace_refetched"] = f"WITH {BARS} SELECT isin, date, round(CASE WHEN CAST(isin AS INTEGER) % 4 = 0 AND date >= DATE '1999-01-05' THEN close * 2 ELSE close END, 8) AS close, currency FROM bars WHERE CASE WHEN CAST(isin AS INTEGER) % 4 = 0 AND isin IN (SELECT isin FROM bars WHERE date >= DATE '1999-01-05') THEN date >= DATE '1999-01-05' ELSE date < DATE '1999-01-10' END"
+_PANEL_PARTS = ("trailing_returns", "cagr", "volatility", "sharpe_sortino", "drawdown", "full_history_shape")
+ORACLE["performance_panel"] = "SELECT * FROM " + " JOIN ".join(f"({ORACLE[k]}) AS {k}" if i == 0 else f"({ORACLE[k]}) AS {k} USING (isin)" for i, k in enumerate(_PANEL_PARTS)) + f" LEFT JOIN ({ORACLE['monthly_distribution']}) AS md USING (isin) LEFT JOIN ({ORACLE['beta_corr']}) AS bc USING (isin)"
+# the shipped constants: more than 250 shared days, 30 bars
+ORACLE["beta_corr_shipped"] = ORACLE["beta_corr"].replace("n > 60", "n > 250")
+ORACLE["thin_gate_shipped"] = ORACLE["thin_gate"].replace("n >= 550", "n >= 30")
