@@ -20,6 +20,16 @@ NON_FUND_SHORT, NON_FUND_LONG = r"(?<![A-Za-z])(ETC|ETN)(?![A-Za-z])", r"(?iU)ex
 STATUTE = "https://www.legifrance.gouv.fr/codes/article_lc/LEGIARTI000041467756"
 
 
+#: What a reader is told beside the reason.
+NOTES = {
+    "no_priips_kid": "US fund without a key information document: may be kept or sold, not bought",
+    "uk_ucits_is_third_country": "a British UCITS has no passport into France any more",
+    "kid_language_unconfirmed": "no key information document in French is known",
+    "not_passported_to_france": "its marketing in France has not been notified",
+    "ucits_eea_with_kid": "an EEA UCITS owes a key information document; its notification in France was not looked up",
+}
+
+
 def provider(url: Column) -> Column:
     """The provider of a source address; an unknown host is a community of its own."""
     host = F.split_part(F.regexp_replace(url, r"^https?://(www\.)?", ""), F.lit("/"), F.lit(1))
@@ -50,10 +60,11 @@ def not_a_fund(funds: DataFrame) -> Column:
 def support(evidence: DataFrame) -> DataFrame:
     """The best support of each isin of ``evidence`` (isin, provider, kind, url, as_of): one aggregate.
 
-    Further kinds: ``prospectus``, ``seed_verified`` and ``seed_unverified``.  Within the winning tier the latest
-    date gives address and date, ties to the smaller provider.
+    Further kinds: ``prospectus``, ``seed_verified`` and ``seed_unverified``; a provider's rows share its date and
+    address.  Within the winning tier the provider read last is cited, of several the first by name.
     """
-    latest = lambda *kinds: F.max_by(F.struct("url", "as_of"), F.when(F.col("kind").isin(*kinds), F.struct(F.col("as_of"), -F.crc32(F.col("provider").cast("binary")))))
+    cited = F.struct(-F.unix_date("as_of"), "provider")
+    latest = lambda *kinds: F.min_by(F.struct("url", "as_of"), F.when(F.col("kind").isin(*kinds), cited))
     weak = ("stale", "screener", "community", "no_flag")
     one = evidence.groupBy("isin").agg(
         *(latest(k).alias(k) for k in ("prospectus", "venue", "issuer", "broker", "seed_verified", "seed_unverified")),
@@ -81,11 +92,16 @@ def mechanism(funds: DataFrame, stated: Column | None = None) -> Column:
     return F.when(how == "synthetic-swap", "synthetic_swap").when(how.startswith("physical"), "physical_eu").when(F.coalesce(F.col("name").rlike(r"(?iU)\bswap\b"), F.lit(False)), "synthetic_swap").otherwise("unknown")
 
 
-def verdicts(funds: DataFrame, evidence: DataFrame, read_on: str) -> DataFrame:
-    """``funds`` with pea_eligible, pea_confidence, pea_mechanism, pea_source, pea_as_of, pea_reason, cto_accessible, cto_reason, has_priips_kid and authorised_fr."""
+def verdicts(funds: DataFrame, evidence: DataFrame, read_on: str, stated: DataFrame | None = None) -> DataFrame:
+    """``funds`` with pea_eligible, pea_confidence, pea_mechanism, pea_source, pea_as_of, pea_reason, cto_accessible, cto_reason, cto_note, has_priips_kid and authorised_fr.
+
+    ``stated``: (isin, stated), the replication that sources tell.
+    """
     best = support(evidence).select("isin", *(F.col(c).alias(f"s_{c}") for c in ("confidence", "reason", "url", "as_of")))
-    made = ["pea_eligible", "pea_confidence", "pea_mechanism", "pea_source", "pea_as_of", "pea_reason", "cto_accessible", "cto_reason", "has_priips_kid", "authorised_fr"]
-    rows = funds.join(best, "isin", "left").withColumn("d_", domicile(funds)).withColumn("nf_", not_a_fund(funds))
+    made = ["pea_eligible", "pea_confidence", "pea_mechanism", "pea_source", "pea_as_of", "pea_reason", "cto_accessible", "cto_reason", "cto_note", "has_priips_kid", "authorised_fr"]
+    rows = funds.join(best, "isin", "left")
+    rows = rows.join(stated.select("isin", F.col("stated").alias("st_")), "isin", "left") if stated is not None else rows.withColumn("st_", F.lit(None).cast("string"))
+    rows = rows.withColumn("d_", domicile(funds)).withColumn("nf_", not_a_fund(funds))
     blocked = F.when(F.col("nf_"), "not_a_fund").when(F.col("d_").isNotNull() & ~F.col("d_").isin(*EEA), "domicile_outside_eea")
     promotes = F.coalesce(F.col("s_confidence").isin("highest", "high", "medium", "low"), F.lit(False))
     rows = rows.withColumns({"b_": blocked, "p_": promotes}).withColumn("yes_", F.col("b_").isNull() & F.col("p_"))
@@ -106,7 +122,7 @@ def verdicts(funds: DataFrame, evidence: DataFrame, read_on: str) -> DataFrame:
         .otherwise("unknown")
     )
     rows = rows.withColumns({"case_": case, "kid_": F.when(F.col("d_") == "US", False).when(outside, _column(funds, "has_priips_kid", "boolean")).when(case.isin("kid_language_unconfirmed", "not_passported_to_france"), kid).otherwise(kid_after), "ok_": F.when(F.col("d_") == "US", allowed).when(F.col("d_") == "GB", False).when(outside | case.isin("kid_language_unconfirmed", "not_passported_to_france"), allowed).otherwise(allowed_after)})
-    rows = rows.withColumns({"mech_": F.when(F.col("yes_"), mechanism(funds)).otherwise("unknown"), "pea_": pea})
+    rows = rows.withColumns({"mech_": F.when(F.col("yes_"), mechanism(funds, F.col("st_"))).otherwise("unknown"), "pea_": pea})
     out = {
         "pea_eligible": F.col("pea_"),
         "pea_confidence": F.when(F.col("b_").isNotNull(), "high").otherwise(F.coalesce("s_confidence", F.lit("none"))),
@@ -116,6 +132,11 @@ def verdicts(funds: DataFrame, evidence: DataFrame, read_on: str) -> DataFrame:
         "pea_reason": F.coalesce("b_", "s_reason", F.when(no_isin, "no_isin_to_match").otherwise("no_positive_evidence")),
         "cto_accessible": F.when(F.col("case_").isin("no_priips_kid", "uk_ucits_is_third_country", "not_passported_to_france"), False).when(F.col("case_") == "ucits_eea_with_kid", True),
         "cto_reason": F.col("case_"),
+        "cto_note": F.coalesce(
+            F.when(outside & (F.col("case_") == "unknown"), F.concat(F.lit("domicile "), F.col("d_"), F.lit(": no key information document is held, one may exist"))),
+            F.when((F.col("case_") == "ucits_eea_with_kid") & F.col("yes_"), F.lit("sold within a French PEA, hence marketed in France")),
+            lookup(NOTES, F.col("case_")),
+        ),
         "has_priips_kid": F.col("kid_"),
         "authorised_fr": F.col("ok_"),
     }

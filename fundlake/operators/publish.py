@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fundlake.operators.asof import daily_validity
@@ -41,22 +41,25 @@ def coverage(index: DataFrame) -> DataFrame:
     return index.groupBy("isin").agg(F.count("*").cast("int").alias("index_points"), F.min("date").alias("index_start"))
 
 
-def gate(tables: dict[str, DataFrame], as_of=None, synthetic: bool = False, min_funds: int = MIN_FUNDS) -> list[str]:
-    """What stands against release; empty if nothing does."""
-    problems = [f"{name} is missing" for name in ("funds", "listings") if name not in tables]
+def gate(spark: SparkSession, tables: dict[str, DataFrame], as_of=None, synthetic: bool = False, min_funds: int = MIN_FUNDS) -> DataFrame:
+    """(table, problem): what stands against release; no rows if nothing does.  Rows are counted by aggregates, columns by schema."""
+    known = [(name, "is missing") for name in ("funds", "listings") if name not in tables]
+    known += [(name, "has raw price columns: " + ", ".join(leaked)) for name, df in sorted(tables.items()) if (leaked := sorted(set(FORBIDDEN) & {c.lower() for c in df.columns}))]
+    known += [("", "the data are synthetic")] * synthetic + [("", "no as_of date")] * (not as_of)
+    out = spark.createDataFrame(known, "table string, problem string")
     for name, df in sorted(tables.items()):
-        leaked = sorted(set(FORBIDDEN) & {c.lower() for c in df.columns})
-        if leaked:
-            problems.append(f"{name} has raw price columns {leaked}")
-        if df.isEmpty():
-            problems.append(f"{name} has no rows")
-    if "funds" in tables and (n := tables["funds"].count()) < min_funds:
-        problems.append(f"funds has {n} rows, under {min_funds}")
-    if synthetic:
-        problems.append("the data are synthetic")
-    if not as_of:
-        problems.append("no as_of date")
-    return problems
+        n = df.agg(F.count("*").alias("n"))
+        few = (F.col("n") < min_funds) if name == "funds" else F.lit(False)
+        problem = F.when(F.col("n") == 0, "has no rows").when(few, f"has under {min_funds} rows")
+        out = out.unionByName(n.select(F.lit(name).alias("table"), problem.alias("problem")).where("problem IS NOT NULL"))
+    return out
+
+
+def check(spark: SparkSession, tables: dict[str, DataFrame], **more) -> None:
+    """An error that names everything that stands against release."""
+    found = gate(spark, tables, **more).collect()  # a few rows for each table
+    if found:
+        raise ValueError("; ".join(f"{r.table} {r.problem}".strip() for r in found))
 
 
 def write(df: DataFrame, path: str, *order: str, row_group: int = 8 << 20) -> None:

@@ -364,7 +364,7 @@ def replace_refetched(spark: SparkSession, d: str) -> DataFrame:
 @query
 def pea_verdict(spark: SparkSession, d: str) -> DataFrame:
     funds, evidence = p.evidence_tables(spark, d)
-    return eligibility.verdicts(funds, evidence, "2026-08-01").select("isin", "pea_eligible", "pea_confidence", "pea_mechanism", "pea_as_of", "pea_reason")
+    return eligibility.verdicts(funds, evidence, "2026-08-01").select("isin", "pea_eligible", "pea_confidence", "pea_mechanism", "pea_source", "pea_as_of", "pea_reason")
 
 
 @query
@@ -393,8 +393,7 @@ def hash_sample(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def export_gate(spark: SparkSession, d: str) -> DataFrame:
-    found = publish.gate({"funds": p.funds(spark, d), "listings": p.listings(spark, d), "bad": p.bars(spark, d)}, as_of=None, min_funds=10**7)
-    return spark.createDataFrame([(x.split(",")[0] if "rows, under" not in x else "funds too few",) for x in found], "problem string")
+    return publish.gate(spark, {"funds": p.funds(spark, d), "listings": p.listings(spark, d), "bad": p.bars(spark, d)}, as_of=None, min_funds=10**7)
 
 
 @query
@@ -404,13 +403,7 @@ def stream_refresh(spark: SparkSession, d: str) -> DataFrame:
 
     from fundlake.streaming.refresh import follow
 
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if base is None:
-        import tempfile
-
-        base = "file://" + tempfile.mkdtemp(prefix="fundlake-")
-        spark.sparkContext.setCheckpointDir(base)
-    root = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    root = f"{store.shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     for k, delivery in enumerate(_two_deliveries(spark, d)):
         delivery.write.mode("append").parquet(f"{root}/in")
         stream = spark.readStream.schema(delivery.schema).parquet(f"{root}/in")

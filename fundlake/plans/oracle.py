@@ -172,3 +172,43 @@ ORACLE["performance_panel"] = "SELECT * FROM " + " JOIN ".join(f"({ORACLE[k]}) A
 # the shipped constants: more than 250 shared days, 30 bars
 ORACLE["beta_corr_shipped"] = ORACLE["beta_corr"].replace("n > 60", "n > 250")
 ORACLE["thin_gate_shipped"] = ORACLE["thin_gate"].replace("n >= 550", "n >= 30")
+
+
+def _prefix_sum(prefix: str) -> int:
+    """What a two-letter prefix adds to the check sum: four digits, the first and third doubled."""
+    digits = [int(x) for c in prefix for x in str(int(c, 36))]
+    return sum(sum(divmod(2 * x, 10)) if i % 2 == 0 else x for i, x in enumerate(digits))
+
+
+_PREFIXES = ("IE", "FR", "US", "GB", "XS", "JE", "LU")
+_CASE = lambda at, values: f"CASE {at} " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(values)) + " END"
+_TEXT = lambda *values: [f"'{v}'" for v in values]
+EVIDENCE = f"""
+o AS (SELECT o_orderkey AS k, lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS b, {_CASE('o_custkey % 7', _TEXT(*_PREFIXES))} AS prefix, {_CASE('o_custkey % 7', map(_prefix_sum, _PREFIXES))} AS s FROM orders),
+f AS (SELECT k, prefix, prefix || b || CAST((10 - (s + {' + '.join(_DOUBLED)}) % 10) % 10 AS VARCHAR) AS isin, {_CASE('k % 6', _TEXT('Core Equity UCITS ETF', 'Physical Gold ETC', 'Bond ETF', 'Swap World ETF', 'Short Certificate', 'Dividend ETF'))} AS name,
+  CASE k % 3 WHEN 0 THEN true WHEN 1 THEN false END AS ucits, k % 13 = 0 AS unlisted, k % 17 = 0 AS foreign_kid, CASE WHEN k % 11 <> 0 AND k % 5 = 0 THEN 'DE' WHEN prefix <> 'XS' THEN prefix END AS d FROM o),
+told AS (SELECT isin, k, unnest(list_distinct([k % 8, (k * 3 + 1) % 8, (k // 8) % 8])) AS e FROM f WHERE k % 3 <> 0),
+seen AS (SELECT isin, k, e, {_CASE('e', _TEXT('https://live.euronext.com/x', 'https://www.amundietf.fr/y', 'https://www.boursedirect.fr/z', 'https://www.fortuneo.fr/q', 'https://home.saxo/w', 'https://www.justetf.com/v', 'https://www.someblog.org/u', 'https://etf.dws.com/t'))} || CAST(k % 4 AS VARCHAR) AS url, CAST(DATE '2024-01-01' + CAST(k % 7 + e % 2 AS INTEGER) AS DATE) AS day FROM told),
+who AS (SELECT e, {_CASE('e', _TEXT('euronext', 'amundi', 'bourse-direct', 'fortuneo', 'saxo', 'justetf', 'blog-someblog.org', 'xtrackers'))} AS provider, {_CASE('e', _TEXT('venue', 'issuer', 'broker', 'broker', 'stale', 'screener', 'community', 'no_flag'))} AS kind, {_CASE('e', (1, 2, 3, 3, 4, 4, 4, 4))} AS tier, max(day) AS as_of, arg_min(url, k) AS url FROM seen GROUP BY e),
+ev AS (SELECT t.isin, w.* FROM told t JOIN who w ON w.e = t.e),
+best AS (SELECT isin, CASE tier WHEN 1 THEN 'high' WHEN 2 THEN 'high' WHEN 3 THEN CASE WHEN brokers > 1 THEN 'medium' ELSE 'low' END ELSE 'hint' END AS confidence, CASE tier WHEN 1 THEN 'venue_flag' WHEN 2 THEN 'issuer_flag' WHEN 3 THEN CASE WHEN brokers > 1 THEN 'brokers_corroborated' ELSE 'single_broker' END ELSE 'screener_or_community_only' END AS reason, url, as_of
+  FROM (SELECT *, count(*) FILTER (WHERE kind = 'broker') OVER (PARTITION BY isin) AS brokers, row_number() OVER (PARTITION BY isin ORDER BY tier, as_of DESC, provider) AS rn FROM ev) WHERE rn = 1),
+r AS (SELECT f.*, b.confidence, b.reason, b.url, b.as_of, CASE WHEN name LIKE '% ETC' OR name LIKE '%Certificate' THEN 'not_a_fund' WHEN d NOT IN ('IE', 'FR', 'LU', 'DE') THEN 'domicile_outside_eea' END AS blocked FROM f LEFT JOIN best b ON b.isin = f.isin),
+v AS (SELECT *, blocked IS NULL AND coalesce(confidence IN ('high', 'medium', 'low'), false) AS yes, coalesce(d IN ('IE', 'FR', 'LU', 'DE'), false) AS eea FROM r),
+pea AS (SELECT isin, CASE WHEN blocked IS NOT NULL THEN false WHEN yes THEN true END AS pea_eligible, CASE WHEN blocked IS NOT NULL THEN 'high' ELSE coalesce(confidence, 'none') END AS pea_confidence,
+  CASE WHEN NOT yes THEN 'unknown' WHEN k % 4 = 0 THEN 'physical_eu' WHEN k % 4 < 3 OR name LIKE 'Swap%' THEN 'synthetic_swap' ELSE 'unknown' END AS pea_mechanism,
+  CASE WHEN blocked IS NOT NULL THEN 'https://www.legifrance.gouv.fr/codes/article_lc/LEGIARTI000041467756' ELSE url END AS pea_source, CASE WHEN blocked IS NOT NULL THEN DATE '2026-08-01' WHEN yes THEN as_of END AS pea_as_of, coalesce(blocked, reason, 'no_positive_evidence') AS pea_reason FROM v),
+cto AS (SELECT isin, c AS cto_reason, CASE WHEN c IN ('no_priips_kid', 'uk_ucits_is_third_country', 'not_passported_to_france') THEN false WHEN c = 'ucits_eea_with_kid' THEN true END AS cto_accessible,
+  CASE WHEN d = 'US' THEN false WHEN d IS NOT NULL AND NOT eea THEN NULL WHEN eea AND ucits THEN true WHEN c IN ('kid_language_unconfirmed', 'not_passported_to_france') THEN NULL WHEN yes THEN true END AS has_priips_kid,
+  CASE WHEN d = 'GB' THEN false WHEN unlisted THEN false WHEN (d IS NOT NULL AND NOT eea) OR c = 'kid_language_unconfirmed' THEN NULL WHEN yes THEN true END AS authorised_fr
+  FROM (SELECT *, CASE WHEN d = 'US' THEN 'no_priips_kid' WHEN d = 'GB' THEN 'uk_ucits_is_third_country' WHEN NOT eea AND d IS NOT NULL THEN 'unknown' WHEN foreign_kid THEN 'kid_language_unconfirmed' WHEN unlisted THEN 'not_passported_to_france' WHEN yes OR (eea AND ucits) THEN 'ucits_eea_with_kid' ELSE 'unknown' END AS c FROM v))
+"""
+ORACLE["pea_verdict"] = f"WITH {EVIDENCE} SELECT * FROM pea"
+ORACLE["cto_verdict"] = f"WITH {EVIDENCE} SELECT * FROM cto"
+ORACLE["eligibility_violations"] = f"WITH {EVIDENCE} SELECT 'C1' AS rule, pea.isin FROM pea JOIN cto ON cto.isin = pea.isin WHERE pea_eligible AND (cto_accessible IS NOT TRUE OR pea.isin LIKE '%7')"
+ORACLE["broker_availability"] = f"WITH {EVIDENCE} SELECT provider AS broker, isin, true AS available, 'pea' AS wrapper, url AS source_url, as_of FROM ev WHERE kind IN ('broker', 'stale') AND isin NOT IN (SELECT isin FROM f WHERE name LIKE '%Certificate')"
+ORACLE["export_gate"] = "SELECT * FROM (VALUES ('bad', 'has raw price columns: adj_close, close, volume'), ('', 'no as_of date'), ('funds', 'has under 10000000 rows')) AS t(\"table\", problem)"
+ORACLE["hash_sample"] = f"WITH {FUNDS} SELECT isin, name FROM funds ORDER BY isin <> '7', md5(isin), isin LIMIT 50"
+_NAMED = "n AS (SELECT p_partkey, " + _CASE("p_partkey % 13", _TEXT("Gold Miners", "Euro Govt Bond 1-3", "MSCI World 2x", "Bitcoin", "Real Estate", "Money Market", "S&P 500 Equal Weight", "Covered Call", "Ultra Short", "Credit Suisse", "Monétaire", "Crude Oil", "plain")) + " || ' ' || p_name AS name, " + _CASE("p_partkey % 13", ["'equity'", "'bond'", "'equity'", "'crypto'", "'real-estate'", "'money-market'", "'equity'", "NULL", "NULL", "NULL", "'money-market'", "'commodity'", "NULL"]) + " AS asset, " + _CASE("p_partkey % 13", ["NULL", "NULL", "'leveraged'", "NULL", "NULL", "NULL", "'factor'", "'covered-call'", "'inverse'", "NULL", "NULL", "NULL", "NULL"]) + " AS how FROM part)"
+ORACLE["classify_name"] = f"WITH {_NAMED} SELECT p_partkey, name, asset AS asset_class, how AS strategy FROM n"
+ORACLE["fill_from_name"] = f"WITH {_NAMED} SELECT CAST(p_partkey AS VARCHAR) AS isin, name, CASE p_partkey % 3 WHEN 1 THEN 'equity' WHEN 0 THEN coalesce(asset, 'unknown') ELSE asset END AS asset_class, how AS strategy, CASE WHEN how IS NOT NULL OR (p_partkey % 3 <> 1 AND asset IS NOT NULL) THEN 'name-heuristic,xetra' ELSE 'xetra' END AS data_sources FROM n"

@@ -97,7 +97,7 @@ def isins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def evidence_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(funds, evidence) with valid identifiers: every tenth order's number with its check digit, prefixes by customer."""
+    """(funds, evidence) with valid identifiers: each order's number with its check digit, prefixes by customer."""
     from fundlake.functions.identifiers import check_digit
 
     o = table(spark, sf_dir, "orders")
@@ -107,9 +107,11 @@ def evidence_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     kind = lambda n, values: pick(values, F.col("o_orderkey") % n)
     made = f.select("isin", kind(6, ("Core Equity UCITS ETF", "Physical Gold ETC", "Bond ETF", "Swap World ETF", "Short Certificate", "Dividend ETF")).alias("name"), F.when(F.col("o_orderkey") % 11 == 0, "XS").when(F.col("o_orderkey") % 5 == 0, "DE").alias("domicile"), F.when(F.col("o_orderkey") % 3 == 0, True).when(F.col("o_orderkey") % 3 == 1, False).alias("ucits"), kind(4, ("Physical", "Synthetic", "Unfunded swap", "other")).alias("replication"), F.when(F.col("o_orderkey") % 13 == 0, False).alias("authorised_fr"), F.when(F.col("o_orderkey") % 17 == 0, False).alias("kid_language_fr"))
     urls = ("https://live.euronext.com/x", "https://www.amundietf.fr/y", "https://www.boursedirect.fr/z", "https://www.fortuneo.fr/q", "https://home.saxo/w", "https://www.justetf.com/v", "https://www.someblog.org/u", "https://etf.dws.com/t")
-    told = f.where("o_orderkey % 2 = 0").select("isin", F.explode(F.array(F.col("o_orderkey") % 8, (F.col("o_orderkey") * 3 + 1) % 8)).alias("k"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("o_orderkey") % 300).cast("int")).alias("day"))
+    # every third fund is told of by nobody
+    told = f.where("o_orderkey % 3 <> 0").select("isin", "o_orderkey", F.explode(F.array_distinct(F.array(F.col("o_orderkey") % 8, (F.col("o_orderkey") * 3 + 1) % 8, F.floor(F.col("o_orderkey") / 8) % 8))).alias("k"))
     from fundlake.operators import eligibility
+    from fundlake.sources.evidence import by_provider
 
-    rows = told.select("isin", pick(urls, F.col("k")).alias("url"), F.date_add("day", F.col("k").cast("int")).alias("as_of"))
+    rows = told.select("isin", F.concat(pick(urls, F.col("k")), (F.col("o_orderkey") % 4).cast("string")).alias("url"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("o_orderkey") % 7 + F.col("k") % 2).cast("int")).alias("as_of"), F.col("o_orderkey").alias("seq"))
     rows = rows.withColumn("provider", eligibility.provider(F.col("url")))
-    return made, rows.withColumn("kind", eligibility.kind(F.col("provider")))
+    return made, by_provider(rows.withColumn("kind", eligibility.kind(F.col("provider"))))

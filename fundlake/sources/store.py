@@ -11,6 +11,20 @@ from fundlake.operators.rows import keep_last
 BUCKETS, OVERLAP = 64, 5
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; a folder of our own only where that is unset and Spark runs in one process."""
+    import tempfile
+
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="fundlake-")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(base)
+    return base.rstrip("/")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
@@ -29,6 +43,7 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, buckets: int = B
     bad = incoming.where("isin IS NULL OR trim(isin) = '' OR date IS NULL").limit(1).count()
     if bad:
         raise ValueError("bars need an isin and a date")
+    shared_folder(spark)
     rows = incoming.withColumn("bucket", bucket(F.col("isin"), buckets))
     if _exists(spark, path):
         stored = spark.read.parquet(path)

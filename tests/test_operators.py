@@ -166,7 +166,9 @@ def test_conform_and_guard(spark):
         conform(df, "funds", strict=True)
     with pytest.raises(ValueError):
         publishable(df.withColumn("close", F.lit(1)))
-    assert "no as_of date" in publish.gate({"funds": df}, None)
+    assert ("", "no as_of date") in {tuple(r) for r in publish.gate(spark, {"funds": df}).collect()}
+    with pytest.raises(ValueError, match="listings is missing"):
+        publish.check(spark, {"funds": df})
 
 
 def test_store_is_idempotent(spark, tmp_path):
