@@ -32,12 +32,14 @@ def _order():
     return F.struct(-F.col("trust"), "source", "seq")
 
 
-def trust_fold(rows: DataFrame, key: str, fields: list[str]) -> DataFrame:
+def trust_fold(rows: DataFrame, key: str, fields: list[str], latest: str | None = None) -> DataFrame:
     """For each key every field's first value by trust, source and row; nulls never block, false and 0 count.
 
-    One aggregate for all fields, combined before the shuffle; data_sources are the contributors.
+    One aggregate for all fields, combined before the shuffle; data_sources are the contributors; of a ``latest`` column
+    the greatest value counts, whoever states it.
     """
     pick = [F.min_by(f, F.when(F.col(f).isNotNull(), _order())).alias(f) for f in fields]
+    pick += [F.max(latest).alias(latest)] if latest else []
     return rows.groupBy(key).agg(*pick, F.array_sort(F.collect_set("source")).alias("data_sources"))
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fundlake.operators import adjust
 from fundlake.operators.asof import daily_validity
-from fundlake.schema import FORBIDDEN, publishable
+from fundlake.schema import FORBIDDEN, conform, publishable
 
 BASE, MAX_AGE, MIN_FUNDS = 100.0, 10, 5000
 
@@ -68,3 +69,66 @@ def write(df: DataFrame, path: str, *order: str, row_group: int = 8 << 20) -> No
     if order:
         out = out.repartitionByRange(*order).sortWithinPartitions(*order)
     out.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", row_group).parquet(path)
+
+
+#: Tables that are published as they are, and their order.
+PUBLISHED = {"funds": ("isin",), "listings": ("isin", "exchange_mic"), "performance": ("isin",), "returns_yearly": ("isin", "year"), "returns_monthly": ("isin", "year", "month"), "broker_availability": ("broker", "isin")}
+
+
+def export(spark: SparkSession, tables: dict[str, DataFrame], root: str, as_of: str, index: DataFrame | None = None, synthetic: bool = False) -> dict:
+    """Writes the declared tables and the index under ``root`` and the manifest beside them; gives the manifest.
+
+    Without an ``index`` the one written before is kept, and its count in the manifest.
+    """
+    path = f"{root}/manifest.json"
+    before = read_json(spark, path) or {}
+    counts = {}
+    for name, order in PUBLISHED.items():
+        if name in tables:
+            write(conform(tables[name], name), f"{root}/{name}", *order)
+            counts[name] = spark.read.parquet(f"{root}/{name}").count()
+    if index is not None:
+        write(index, f"{root}/tr_index", "isin", "date", row_group=1 << 20)
+        made = spark.read.parquet(f"{root}/tr_index").agg(F.count("*").alias("n"), F.countDistinct("isin").alias("funds")).first()
+        told = {"rows": made.n, "funds": made.funds}
+    else:
+        told = before.get("index")
+    manifest = {"as_of": as_of, "synthetic": synthetic, "tables": counts, "index": told}
+    write_json(spark, manifest, path)
+    return manifest
+
+
+def write_provenance(provenance_: DataFrame, sources: DataFrame, root: str) -> None:
+    """The provenance as Parquet, and a report of sources (a row each) and of fields won as JSON."""
+    spark = provenance_.sparkSession
+    provenance_.repartitionByRange("isin").sortWithinPartitions("isin", "field").write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/provenance")
+    won = spark.read.parquet(f"{root}/provenance").groupBy("source").pivot("field").count().na.fill(0)
+    rows = lambda df: [r.asDict() for r in df.orderBy("source").collect()]  # noqa: E731 - as many as there are sources
+    write_json(spark, {"sources": rows(sources), "fields_won": rows(won)}, f"{root}/provenance.json")
+
+
+def write_json(spark: SparkSession, what: dict, path: str) -> None:
+    """A small document, on any file system that Spark writes; in place of the one there."""
+    import json
+
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
+    out.write(json.dumps(what, indent=1, default=str, sort_keys=True).encode())
+    out.close()
+
+
+def read_json(spark: SparkSession, path: str) -> dict | None:
+    import json
+
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        return None
+    return json.loads(spark.read.text(path, wholetext=True).first().value)
+
+
+def single_file(bars: DataFrame, path: str, actions: DataFrame | None = None, total_return: bool = True) -> None:
+    """All bars in one Parquet file, adjusted for ``actions``; without them only if total returns are not asked for."""
+    if total_return and actions is None:
+        raise ValueError("total returns need corporate actions")
+    rows = adjust.adjust(bars, actions) if total_return else bars
+    rows.repartitionByRange("isin", "date").sortWithinPartitions("isin", "date").coalesce(1).write.mode("overwrite").option("compression", "zstd").parquet(path)

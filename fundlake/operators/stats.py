@@ -141,6 +141,11 @@ def beta_and_correlation(panel: DataFrame, benchmark: DataFrame, min_shared: int
     return m.select("isin", *(c.alias(k) for k, c in _beta(min_shared).items()))
 
 
+def own_benchmark(panel: DataFrame, isin: str) -> DataFrame:
+    """(date, logp) of one fund of the panel: no rows if it is not there, and then nothing is compared."""
+    return panel.where(F.col("isin") == isin).select("date", "logp")
+
+
 def period_returns(panel: DataFrame, period: str) -> DataFrame:
     """isin, start (first day of the ``period``: month or year), ret and partial of every period a fund has bars in.
 

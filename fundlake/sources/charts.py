@@ -48,6 +48,37 @@ def actions(payloads: DataFrame) -> DataFrame:
     return d.unionByName(s)
 
 
+#: Answers that are worth another try.
+RETRIED = (408, 425, 429, 500, 502, 503, 504)
+
+
+class Refused(Exception):
+    """An answer other than a payload; ``status`` is None where there was no answer at all."""
+
+    def __init__(self, status: int | None):
+        super().__init__(f"status {status}")
+        self.status = status
+
+
+class Retrying:
+    """A transport that asks ``transport`` again, ``tries`` times in all and with growing, uneven pauses, where that may help."""
+
+    def __init__(self, transport, tries: int = 4, pause: float = 0.5):
+        self.transport, self.tries, self.pause = transport, tries, pause
+
+    def __call__(self, symbol, start, end):
+        import random
+        import time
+
+        for k in range(self.tries):
+            try:
+                return self.transport(symbol, start, end)
+            except Refused as e:
+                if k + 1 == self.tries or e.status is not None and e.status not in RETRIED:
+                    raise
+            time.sleep(self.pause * 2**k * (0.5 + random.random()))
+
+
 def fetch(requests: DataFrame, transport, tasks: int = 16) -> DataFrame:
     """(isin, payload, error) of ``requests`` (isin, symbol, start, end) by ``transport(symbol, start, end) -> text``.
 

@@ -54,6 +54,33 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, buckets: int = B
     merged.repartition("bucket").sortWithinPartitions("bucket", "isin", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("bucket").parquet(path)
 
 
+def upsert_actions(spark: SparkSession, incoming: DataFrame, path: str) -> None:
+    """Merges corporate actions into one table by isin, date and kind, the newest winning; it is read before it is replaced."""
+    shared_folder(spark)
+    stored = spark.read.parquet(path) if _exists(spark, path) else None
+    merged = merge(stored, incoming, ("isin", "date", "kind")).checkpoint()
+    merged.repartitionByRange("isin").sortWithinPartitions("isin", "date", "kind").write.mode("overwrite").option("compression", "zstd").parquet(path)
+
+
+def rounds(spark: SparkSession, candidates: DataFrame, fetch, path: str, most: int) -> list[int]:
+    """Asks every fund's first symbol, then the next one of funds that still have no bars, and so on; gives the numbers asked.
+
+    ``fetch(candidates) -> bars``; bars go into the store at ``path`` round by round, so that a round that is lost
+    costs only itself.
+    """
+    asked = []
+    for rank in range(most):
+        done = spark.read.parquet(path).select("isin") if _exists(spark, path) else spark.createDataFrame([], "isin string")
+        todo = outstanding(candidates, done, rank)
+        asked.append(todo.count())
+        if not asked[-1]:
+            break
+        got = fetch(todo)
+        if not got.isEmpty():
+            upsert(spark, got, path)
+    return asked
+
+
 def read(spark: SparkSession, path: str, isins: list[str] | None = None, columns: list[str] | None = None, buckets: int = BUCKETS) -> DataFrame:
     """Bars; of some funds: only their buckets' folders are listed, and the isin filter reaches the scan."""
     df = spark.read.parquet(path)

@@ -10,6 +10,7 @@ from fundlake.functions.money import lookup
 from fundlake.operators.fold import primary_flags
 from fundlake.schema import conform
 from fundlake.sources import text
+from fundlake.sources.store import shared_folder
 
 # Venues, names, countries and classes of the files.
 CFI_DISTRIBUTION = {"I": "distributing", "G": "accumulating"}
@@ -56,7 +57,7 @@ def firds(records: DataFrame, markets: DataFrame, preference=EURONEXT_PREFERENCE
     first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("mic"))).alias(c)
     one = etfs.groupBy("isin").agg(first("name"), first("short_name"), first("cfi"))
     funds = one.select("isin", "name", "short_name", identifiers.country(F.col("isin")).alias("domicile"), F.coalesce(lookup(CFI_DISTRIBUTION, F.substring("cfi", 4, 1)), F.lit("unknown")).alias("distribution_policy"), F.coalesce(lookup(CFI_ASSET, F.substring("cfi", 5, 1)), F.lit("unknown")).alias("asset_class"))
-    lines = etfs.join(F.broadcast(markets), "mic").select("isin", F.col("mic").alias("exchange_mic"), F.col("venue_name").alias("exchange_name"), "venue_country", F.col("currency").alias("trading_currency"))
+    lines = etfs.join(markets, "mic").select("isin", F.col("mic").alias("exchange_mic"), F.col("venue_name").alias("exchange_name"), "venue_country", F.col("currency").alias("trading_currency"))
     return conform(_tagged(funds, "firds"), "funds"), conform(primary_flags(lines, preference), "listings")
 
 
@@ -95,14 +96,18 @@ def xetra(rows: DataFrame) -> Frames:
 def lse_rows(spark: SparkSession, path: str) -> DataFrame:
     """Every object with an isin and a tidm, at whatever depth of the page document."""
     fields = ("isin", "tidm", "name", "issuername", "currency", "category")
-    pages = spark.read.option("wholetext", True).text(path).select(F.parse_json("value").alias("v"))
+    pages = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("v"))
+    shared_folder(spark)
     found, level = None, pages
-    for _ in range(12):  # the document's depth
-        hit = level.select(*(F.try_variant_get("v", f"$.{f}", "string").alias(f) for f in fields)).where("isin IS NOT NULL AND tidm IS NOT NULL")
+    while True:  # a level of the document at a time, as many as it has
+        has = lambda f: F.try_variant_get("v", f"$.{f}", "string")
+        hit = level.select(*(has(f).alias(f) for f in fields)).where("isin IS NOT NULL AND tidm IS NOT NULL")
         found = hit if found is None else found.unionByName(hit)
-        inner = level.where(F.try_variant_get("v", "$.tidm", "string").isNull() | F.try_variant_get("v", "$.isin", "string").isNull())
-        level = inner.lateralJoin(spark.tvf.variant_explode_outer(F.col("v").outer()).select(F.col("value").alias("w"))).where("w IS NOT NULL").select(F.col("w").alias("v"))
-    return found
+        inner = level.where(has("tidm").isNull() | has("isin").isNull())
+        inner = inner.lateralJoin(spark.tvf.variant_explode_outer(F.col("v").outer()).select(F.col("value").alias("w"))).where("w IS NOT NULL")
+        level = inner.select(F.col("w").alias("v")).checkpoint()
+        if level.isEmpty():
+            return found
 
 
 def lse(rows: DataFrame) -> Frames:
