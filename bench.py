@@ -45,7 +45,11 @@ def main() -> None:
     began = time.time()
     run(stats.performance(stats.clean(panel_bars(spark, funds, days))))
     took["panel_1.25m_bars"] = round(time.time() - began, 3)
-    print(json.dumps({"metric": "headline queries, total", "value": round(sum(took.values()), 3), "unit": "sec", "queries": took, "sf": sf, "bars_per_sec": round(funds * days / took["panel_1.25m_bars"])}))
+    funds, days = 13_000, 3780  # the published panel: 15 years of 13 000 funds
+    began = time.time()
+    run(stats.performance(stats.clean(panel_bars(spark, funds, days))))
+    whole = round(time.time() - began, 3)
+    print(json.dumps({"metric": "headline queries, total", "value": round(sum(took.values()), 3), "unit": "sec", "queries": took, "sf": sf, "panel_49.1m_bars": whole, "bars_per_sec": round(funds * days / whole)}))
     spark.stop()
 
 

@@ -84,8 +84,15 @@ def fetch(requests: DataFrame, transport, tasks: int = 16) -> DataFrame:
 
     A symbol that several funds share is asked once; a failure is a row, not an exception.
     """
+    import os
+
     import pandas as pd
 
+    # workers import what the transport refers to, wherever the driver runs
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = requests.sparkSession.sparkContext.environment
+    env["PYTHONPATH"] = os.pathsep.join(dict.fromkeys([*filter(None, env.get("PYTHONPATH", "").split(os.pathsep)), root]))
+
     def run(frames):
         for f in frames:
             out = []
