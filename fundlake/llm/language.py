@@ -31,8 +31,8 @@ from fundlake.llm.sampling import by_hash
 
 ORDERS, BITS, SCALE = (1, 2, 3), 16, 20.0
 SLICE = 1_500_000
-#: Share of the rows kept back that ``Model.least`` may lie above (before it is lowered by a tenth).
-LEAST_QUANTILE = 0.002
+#: ``Model.least`` is this part of the lowest score among the rows kept back.
+LEAST_PART = 0.7
 
 
 @dataclass
@@ -41,7 +41,7 @@ class Model:
     weights: np.ndarray  # (2 ** BITS, languages), inverse document frequency included
     bias: np.ndarray
     temperature: float
-    least: float = 0.0  # the calibrated score under which hardly a row of a known language falls
+    least: float = 0.0  # a calibrated score well under that of any row of a known language kept back
 
 
 def _ftrl(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, k: int, epochs: int, alpha: float, beta: float, l1: float, l2: float) -> tuple[np.ndarray, np.ndarray]:
@@ -128,7 +128,7 @@ def train(docs: DataFrame, most: int = 3000, epochs: int = 4, alpha: float = 0.3
     scores = np.array([x @ w[at] + b for (at, x), z in zip(rows, back) if z]).reshape(-1, len(langs))
     t = _temperature(scores, y[back])
     sure = 1 / np.exp(scores / t - (scores / t).max(axis=1, keepdims=True)).sum(axis=1)
-    least = max(1 / len(langs), 0.9 * float(np.quantile(sure, LEAST_QUANTILE))) if len(sure) else 0.0
+    least = max(1 / len(langs), LEAST_PART * float(sure.min())) if len(sure) else 0.0
     return Model(langs, (w * idf[:, None]).astype(np.float32), b.astype(np.float32), t, least)
 
 
