@@ -1,4 +1,4 @@
-"""Removal of 50-byte strings that an earlier document holds, by distributed prefix doubling on thinned positions.
+"""Removal of 50-byte strings that an earlier document holds, by fingerprints of minimizers, runs and windows.
 
 Texts are UTF-8 bytes.  A rank is a 64-bit hash that names the string of h bytes at a position; ranks
 of 8, 16 and 32 bytes are paired at growing offsets, up to the threshold of 50.  Spark reranks the
@@ -18,7 +18,7 @@ without moving the texts.  Ranges grow in number with the corpus, so that one al
 
 Defined cases: a null or empty text has no bytes; a null doc_id is neither earlier nor later than
 any document and loses nothing; rows that repeat a doc_id are not earlier than each other; a text of
-any length is handled 2 MB at a time; other columns are ignored; an empty table gives no rows.
+any length is hashed 2 MB at a time, its bytes and marks being held whole; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
