@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fundlake.llm import byte_bpe, id_store, language, mixing, near_dup, permutation_index, quality, repeats, surrogates, toxicity
 from fundlake.llm.common import held_out, table
+from fundlake.llm.oracle import ORACLE_SQL as ORACLE_SQL
 
 
 def op1_token_id_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
@@ -59,5 +60,3 @@ def op10_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_token_id_files, op2_byte_bpe, op3_repeated_spans, op4_toxicity, op5_source_mixture, op6_language, op7_quality_rules, op8_surrogates, op9_near_duplicates, op10_permutation_index)}
-
-ORACLE_SQL: dict[str, str] = {}

@@ -5,6 +5,7 @@ import hashlib
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -14,7 +15,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from fundlake.llm import byte_bpe, components, id_store, language, mixing, near_dup, permutation_index, quality, repeats, shingles, surrogates, toxicity
-from fundlake.llm.queries import QUERIES
+from fundlake.llm.queries import ORACLE_SQL, QUERIES
 
 WORDS, RANKS = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, kept string, label int, n long, rank int, row_ int, row int, found_ int, found int, given int, leaf int, leaf_ int, whole int, cut int, times int, times_ int, domain int, epoch int, n_entities int, `a.b` int"
@@ -558,6 +559,19 @@ def test_op10_odd_vectors(spark):
     assert permutation_index.search(*permutation_index.build(df.limit(0)), lambda i: i % 100 == 0).count() == 0
 
 
+# ---------------------------------------------------------------- SQL
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_sql_gives_the_same_rows(spark, sf, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    want = con.execute(ORACLE_SQL[name])
+    columns = [c[0] for c in want.description]
+    got = QUERIES[name](spark, sf)
+    assert sorted(got.columns) == sorted(columns)
+    assert sorted(map(tuple, got.select(*columns).collect()), key=repr) == sorted(want.fetchall(), key=repr)
+
+
 # ---------------------------------------------------------------- pipeline
 
 def test_pipeline_stages(spark, sf, tmp_path):
