@@ -14,7 +14,8 @@ positions three times, and each time those that are settled drop out:
 Documents are kept in blocks of about 2 MB, written once, bucketed by block.  A block sends each rank
 once with its smallest doc_id, packed by rank range (a copy, line or passage of any frequency is one
 entry for each block, so no range is hot), and gets one code back for each; the answers join the blocks
-without moving the texts.  Ranges grow in number with the corpus, so that one always fits a task.
+without moving the texts.  Ranges grow in number with the corpus, so that one always fits a task; a
+block's work grows with its own ranks, not with the ranges.
 
 Defined cases: a null or empty text has no bytes; a null doc_id is neither earlier nor later than
 any document and loses nothing; rows that repeat a doc_id are not earlier than each other; a text of
@@ -96,7 +97,8 @@ class Runs:
             new = np.flatnonzero((np.diff(ok, prepend=-2) != 1) | (np.diff(place[ok], prepend=-1) != 0) | (np.diff(doc[ok], prepend=-1) != 0))
             first, last = ok[new], ok[np.append(new[1:], len(ok)) - 1]
             run = pair(pair(ranks.window(first), ranks.window(last)), (last - first).astype(np.uint64))
-            found.append((doc[first], first + lo, last + lo, seeds[place[first]], run))
+            # minimizers are small ranks: paired with a constant they are spread over all ranges alike
+            found.append((doc[first], first + lo, last + lo, pair(seeds[place[first]], _C), run))
         names = ("doc", "first", "last", "seed", "run")
         for k, name in enumerate(names):
             setattr(self, name, np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.uint64 if k > 2 else np.int64))
@@ -113,10 +115,14 @@ class Runs:
         return of, at, rank
 
 
-def ranges(ranks: np.ndarray, n: int) -> np.ndarray:
-    """Bounds of the n ranges of equal width in sorted ``ranks``."""
-    cuts = [(k << 64) // n for k in range(1, n)]
-    return np.concatenate([[0], np.searchsorted(ranks, np.array(cuts, np.uint64)), [len(ranks)]]).astype(np.int64)
+def ranges(ranks: np.ndarray, n: int) -> list[tuple[int, int, int]]:
+    """(range, first, end) of each of the n ranges of equal width that sorted ``ranks`` have members in.
+
+    By the upper half of a rank alone, in time that grows with the ranks and not with n.
+    """
+    of = ((ranks >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+    first = np.flatnonzero(np.diff(of, prepend=~of[:1]))
+    return list(zip(of[first].tolist(), first.tolist(), np.append(first[1:], len(of)).tolist()))
 
 
 def least_by(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -133,11 +139,9 @@ def ask_seeds(runs: Runs, ids: np.ndarray, n: int):
     kinds, which, low = least_by(runs.seed, ids[runs.doc])
     many = np.zeros(len(kinds), bool)
     many[which[ids[runs.doc] != low[which]]] = True
-    cut, bounds = kinds >> np.uint64(8), ranges(kinds, n)
-    for k in range(n):
-        a, b = bounds[k], bounds[k + 1]
-        if a < b:  # five of the upper seven bytes, below the range's own bits
-            yield k, np.ascontiguousarray(cut[a:b].astype("<u8")).view(np.uint8).reshape(-1, 8)[:, 1:6].tobytes() + np.packbits(many[a:b]).tobytes()
+    low_bytes = np.ascontiguousarray(kinds.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :5]
+    for k, a, b in ranges(kinds, n):  # the lower five bytes: they say nothing that the range says
+        yield k, low_bytes[a:b].tobytes() + np.packbits(many[a:b]).tobytes()
 
 
 def settle_seeds(payloads: list[bytes]) -> list[bytes]:
@@ -175,11 +179,9 @@ def live_runs(runs: Runs, ids: np.ndarray, several: np.ndarray):
 
 
 def ask_runs(kinds: np.ndarray, low: np.ndarray, n: int):
-    bounds = ranges(kinds[:, 0], n)
     rows = np.concatenate([kinds, low.view(np.uint64)[:, None]], axis=1).astype("<u8")
-    for k in range(n):
-        if bounds[k] < bounds[k + 1]:
-            yield k, rows[bounds[k] : bounds[k + 1]].tobytes()
+    for k, a, b in ranges(kinds[:, 0], n):
+        yield k, rows[a:b].tobytes()
 
 
 def settle_runs(payloads: list[bytes]) -> list[bytes]:
@@ -197,11 +199,9 @@ def settle_runs(payloads: list[bytes]) -> list[bytes]:
 
 
 def ask_windows(kinds: np.ndarray, low: np.ndarray, n: int):
-    bounds = ranges(kinds, n)
     rows = np.stack([kinds, low.view(np.uint64)], axis=1).astype("<u8")
-    for k in range(n):
-        if bounds[k] < bounds[k + 1]:
-            yield k, rows[bounds[k] : bounds[k + 1]].tobytes()
+    for k, a, b in ranges(kinds, n):
+        yield k, rows[a:b].tobytes()
 
 
 def settle_windows(payloads: list[bytes]) -> list[bytes]:
@@ -223,9 +223,9 @@ class Block:
         if seeds is None:
             return
         kinds = np.unique(self.runs.seed)
-        several, bounds = np.zeros(len(kinds), bool), ranges(kinds, n_ranges)
-        for k, code in seeds:
-            several[bounds[k] : bounds[k + 1]] = np.unpackbits(np.frombuffer(code, np.uint8), count=int(bounds[k + 1] - bounds[k]))
+        several, codes = np.zeros(len(kinds), bool), dict(seeds)
+        for k, a, b in ranges(kinds, n_ranges):
+            several[a:b] = np.unpackbits(np.frombuffer(codes[k], np.uint8), count=b - a)
         self.live, self.kinds, self.which, self.low = live_runs(self.runs, self.ids, several)
         if runs is None:
             return
